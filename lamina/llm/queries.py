@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import media, urls, warc
+from . import media, packing, urls, warc
 
 QUERIES = {
     "op2_transport_stream": media.op2_transport_stream,
     "op7_warc": warc.op7_warc,
     "op9_url_filter": urls.op9_url_filter,
+    "op10_packing": packing.op10_packing,
 }
 
 ORACLE = {
