@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import media, packing, quality, secrets, urls, warc
+from . import ann, media, packing, quality, secrets, urls, warc
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_transport_stream": media.op2_transport_stream,
+    "op5_nearest": ann.op5_nearest,
     "op6_quality": quality.op6_quality,
     "op7_warc": warc.op7_warc,
     "op9_url_filter": urls.op9_url_filter,
