@@ -241,7 +241,7 @@ def induce(found: DataFrame) -> DataFrame:
         F.min("digest").alias("low"), F.max("digest").alias("high"), F.approx_count_distinct("page", 0.02).alias("pages"), F.sum("chars").alias("chars")
     )
 
-    def build(key, table: pa.Table) -> pa.Table:
+    def build(key, table):
         rows, template, merged, ids = table.to_pylist(), Template(), {}, {}
         for shape in sorted({r["layout"] for r in rows}):
             ids[shape] = template.align(json.loads(shape))
