@@ -10,7 +10,7 @@ Equal vectors are searched once: a distinct vector carries its k + 1 smallest id
 all that k nearest with ties to the smaller id can use. Leaves are cut into blocks of bounded
 size by a hash, queries of a leaf likewise, so no leaf meets in one task.
 
-Defined edge cases: vectors that are null, empty, all zero, hold a null or non-finite
+Defined edge cases: rows with a null key and vectors that are null, empty, all zero, hold a null or non-finite
 component, or have another length than the most frequent one take no part, as query or as
 candidate; with fewer than k candidates all are returned; ties go to the smaller id; of
 repeated ids each row takes part; an empty table gives no row; other columns are ignored.
@@ -124,7 +124,7 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """key and vec (array of double) of the rows that take part."""
-    fine = "vec is not null and size(vec) > 0 and forall(vec, v -> v is not null and not isnan(v) and abs(v) < double('infinity')) and exists(vec, v -> v <> 0)"
+    fine = "id is not null and vec is not null and size(vec) > 0 and forall(vec, v -> v is not null and not isnan(v) and abs(v) < double('infinity')) and exists(vec, v -> v <> 0)"
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vec")).where(F.expr(fine))
     sizes = rows.groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
     return rows.where(F.size("vec") == (sizes[0]["size"] if sizes else 0))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import ann, media, packing, quality, secrets, urls, warc, wrapper
+from . import ann, bpe, media, packing, quality, secrets, urls, warc, wrapper
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_transport_stream": media.op2_transport_stream,
     "op3_main_text": wrapper.op3_main_text,
+    "op4_bpe": bpe.op4_bpe,
     "op5_nearest": ann.op5_nearest,
     "op6_quality": quality.op6_quality,
     "op7_warc": warc.op7_warc,

@@ -11,7 +11,8 @@ payload's digest and length stand in its headers.
 
 Defined edge cases: a null payload counts as empty; a null url is written as an empty target
 URI; repeated keys give one record per row (of rows with the smallest key in a group every
-one is a response); an empty table gives no bundle and no row; other columns are ignored.
+one is a response); an empty table gives no bundle and no row; a null key
+is written and read as such and makes a response; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,11 +43,15 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(key: int) -> str:
-    return f"urn:page:{key}"
+def record_id(key: int | None) -> str:
+    return f"urn:page:{'' if key is None else key}"
 
 
-def record(key: int, url: str, payload: bytes, refers_to: int | None) -> bytes:
+def key_of(name: str) -> int | None:
+    return int(name.rpartition(":")[2]) if name[-1] != ":" else None
+
+
+def record(key: int | None, url: str, payload: bytes, refers_to: int | None) -> bytes:
     """One WARC/1.1 record; refers_to: the response's key for a revisit."""
     kind = "response" if refers_to is None else "revisit"
     block = payload if refers_to is None else b""
@@ -171,7 +176,7 @@ def read_bundles(bundles: DataFrame) -> DataFrame:
                     if kind == "response" and (digest(block) != named or len(block) != size):
                         raise ValueError(f"the payload of {name} is damaged")
                     refers = head.get("WARC-Refers-To")
-                    out.append((int(name.rpartition(":")[2]), size, named, kind, int(refers[1:-1].rpartition(":")[2]) if refers else None))
+                    out.append((key_of(name), size, named, kind, key_of(refers[1:-1]) if refers else None))
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
