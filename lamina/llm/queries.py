@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, media, packing, quality, secrets, urls, warc, wrapper
+from . import ann, bpe, media, neardup, packing, quality, secrets, urls, warc, wrapper
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_nearest": ann.op5_nearest,
     "op6_quality": quality.op6_quality,
     "op7_warc": warc.op7_warc,
+    "op8_near_duplicates": neardup.op8_near_duplicates,
     "op9_url_filter": urls.op9_url_filter,
     "op10_packing": packing.op10_packing,
 }
