@@ -124,8 +124,8 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """key and vec (array of double) of the rows that take part."""
-    fine = "id is not null and vec is not null and size(vec) > 0 and forall(vec, v -> v is not null and not isnan(v) and abs(v) < double('infinity')) and exists(vec, v -> v <> 0)"
-    rows = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vec")).where(F.expr(fine))
+    fine = "id is not null and vec is not null and size(vec) > 0 and forall(vec, v -> v is not null and not isnan(v) and abs(double(v)) < double('infinity')) and exists(vec, v -> v <> 0)"
+    rows = vectors.select(F.col(key).alias("id"), F.col(vector).alias("vec")).where(F.expr(fine))
     sizes = rows.groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
     return rows.where(F.size("vec") == (sizes[0]["size"] if sizes else 0))
 
@@ -140,6 +140,7 @@ def nearest(
     copies = Window.partitionBy("vec").orderBy("id")
     distinct = rows.withColumn("nth", F.row_number().over(copies)).where(F.col("nth") <= k + 1).groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     distinct = common.stored(distinct, "vectors")
+    kind = distinct.schema["vec"].dataType.simpleString()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     count = distinct.count()
     if not count:
@@ -157,41 +158,53 @@ def nearest(
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             orders = [tree.value.order(q, tree.value.visits) for q in matrix(b.column("vec"), width)]
-            yield pa.RecordBatch.from_arrays([b.column("qvec"), pa.array(orders, pa.list_(pa.int64()))], ["qvec", "leaves"])
+            yield pa.RecordBatch.from_arrays([b.column("query"), b.column("vec"), pa.array(orders, pa.list_(pa.int64()))], ["query", "vec", "leaves"])
 
-    indexed = common.stored(distinct.mapInArrow(place, "leaf long, vec array<double>, ids array<long>"), "leaves")
+    indexed = common.stored(distinct.mapInArrow(place, f"leaf long, vec {kind}, ids array<long>"), "leaves")
     sizes = indexed.groupBy("leaf").agg((F.ceil(F.count(F.lit(1)) / block)).cast("long").alias("blocks"))
     blocks = indexed.join(F.broadcast(sizes), "leaf")  # one row per leaf of a tree of bounded size
     blocks = blocks.groupBy("leaf", F.pmod(F.xxhash64("vec"), F.col("blocks")).alias("block")).agg(F.collect_list(F.struct("vec", "ids")).alias("held"))
 
     asked = rows.where(F.col("id") % every == 0).select("id", "vec")
-    queries = asked.select("vec").distinct().withColumn("qvec", F.col("vec"))
-    pairs = queries.mapInArrow(walk, "qvec array<double>, leaves array<long>").select("qvec", F.explode("leaves").alias("leaf"))
-    pairs = pairs.groupBy("leaf", F.pmod(F.xxhash64("qvec"), F.lit(max(1, count // every // 256))).alias("part")).agg(F.collect_list("qvec").alias("asked"))
+    queries = asked.groupBy("vec").agg(F.min("id").alias("query"))
+    pairs = queries.mapInArrow(walk, f"query long, vec {kind}, leaves array<long>").select(F.explode("leaves").alias("leaf"), F.struct("query", "vec").alias("q"))
+    pairs = pairs.groupBy("leaf", F.pmod(F.xxhash64("q.query"), F.lit(max(1, count // every // 256))).alias("part")).agg(F.collect_list("q").alias("asked"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, list[tuple[float, int]]] = {}
+
+        def flush() -> pa.RecordBatch:
+            near = [[{"minus": p, "id": i} for p, i in x] for x in best.values()]
+            kinds = [pa.int64(), pa.list_(pa.struct([("minus", pa.float64()), ("id", pa.int64())]))]
+            out = pa.RecordBatch.from_arrays([pa.array(list(best), kinds[0]), pa.array(near, kinds[1])], ["query", "near"])
+            best.clear()
+            return out
+
         for b in batches:
             for i in range(b.num_rows):
-                held = b.column("held").slice(i, 1).flatten()
+                held, q = (b.column(n).slice(i, 1).flatten() for n in ("held", "asked"))
                 v, ids = matrix(held.field("vec"), width), held.field("ids").to_pylist()
-                q = matrix(b.column("asked").slice(i, 1).flatten(), width)
+                names, q = q.field("query").to_pylist(), matrix(q.field("vec"), width)
                 rough = q @ v.T
                 n = min(len(v), k + 12)
                 top = np.argpartition(-rough, n - 1, axis=1)[:, :n]
-                out_q, out_n = [], []
-                for j, cand in enumerate(top):
-                    s = (v[cand] * q[j]).sum(axis=1)
-                    near = sorted((-float(p), i) for p, c in zip(s, cand, strict=True) for i in ids[c])[: k + 1]
-                    out_q.append(q[j])
-                    out_n.append([{"score": -p, "id": i} for p, i in near])
-                kinds = [pa.list_(pa.float64()), pa.list_(pa.struct([("score", pa.float64()), ("id", pa.int64())]))]
-                yield pa.RecordBatch.from_arrays([pa.array(out_q, kinds[0]), pa.array(out_n, kinds[1])], ["vec", "near"])
-
-    found = blocks.join(pairs, "leaf").select("held", "asked").mapInArrow(search, "vec array<double>, near array<struct<score:double,id:long>>")
-    best = "slice(array_sort(flatten(collect_list(near)), (a, b) -> case when a.score > b.score then -1 when a.score < b.score then 1 when a.id < b.id then -1 when a.id > b.id then 1 else 0 end), 1, {n})"
-    merged = found.groupBy("vec").agg(F.expr(best.format(n=k + 1)).alias("near"))
-    own = asked.join(merged, "vec").select(F.col("id").alias("query_id"), F.expr(f"slice(filter(near, x -> x.id <> id), 1, {k})").alias("near"))
-    return own.select("query_id", F.posexplode("near").alias("pos", "x")).select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), F.col("x.score").alias("score"))
+                for j, (name, cand) in enumerate(zip(names, top, strict=True)):
+                    so_far = best.get(name, [])
+                    if len(so_far) > k:
+                        cand = cand[rough[j, cand] >= -so_far[-1][0] - 1e-6 * (1 + abs(so_far[-1][0]))]
+                    if len(cand):
+                        s = (v[cand] * q[j]).sum(axis=1)
+                        best[name] = sorted(so_far + [(-p, i) for p, c in zip(s.tolist(), cand.tolist(), strict=True) for i in ids[c]])[: k + 1]
+                if len(best) > 50_000:
+                    yield flush()
+        if best:
+            yield flush()
+
+    found = blocks.join(pairs, "leaf").select("held", "asked").mapInArrow(search, "query long, near array<struct<minus:double,id:long>>")
+    merged = found.groupBy("query").agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near"))
+    named = queries.select("vec", "query").join(merged, "query").select("vec", "near")
+    own = asked.join(named, "vec").select(F.col("id").alias("query_id"), F.expr(f"slice(filter(near, x -> x.id <> id), 1, {k})").alias("near"))
+    return own.select("query_id", F.posexplode("near").alias("pos", "x")).select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("x.id").alias("vec_id"), (-F.col("x.minus")).alias("score"))
 
 
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
