@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def own_dir() -> str:
+    """A folder for sessions without spark.checkpoint.dir, which are local ones."""
+    return "file://" + tempfile.mkdtemp(prefix="lamina-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or an own one where unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="lamina-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or own_dir()).rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
