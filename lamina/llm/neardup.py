@@ -207,31 +207,27 @@ def signatures(rows: DataFrame, shared, strength: float) -> DataFrame:
 
 
 def links_of(nodes: list[bytes], codes: np.ndarray, classes: list[bytes] | None, low: float) -> list[tuple[bytes, bytes]]:
-    """Pairs of a chunk to verify: a maximum spanning forest of the estimates, or, with classes, all between classes."""
+    """Pairs of a chunk to verify: a maximum spanning forest of the estimates, or, with classes, all between classes.
+
+    The forest grows a node at a time by the best estimate to any node so far, so it holds one
+    estimate per node, never one per pair.
+    """
     found = []
-    for i in range(len(nodes) - 1):
-        same = (codes[i + 1 :] == codes[i]).mean(axis=1)
-        for j in np.flatnonzero(same >= low).tolist():
-            k = i + 1 + j
-            if classes is None or classes[i] != classes[k]:
-                found.append((-float(same[j]), i, k))
-    if classes is None:
-        up = list(range(len(nodes)))
-
-        def top(i: int) -> int:
-            while up[i] != i:
-                up[i] = up[up[i]]
-                i = up[i]
-            return i
-
-        kept = []
-        for e in sorted(found):
-            a, b = top(e[1]), top(e[2])
-            if a != b:
-                up[b] = a
-                kept.append(e)
-        found = kept
-    return [tuple(sorted((nodes[i], nodes[k]))) for _, i, k in found]
+    if classes is not None:
+        for i in range(len(nodes) - 1):
+            same = (codes[i + 1 :] == codes[i]).mean(axis=1)
+            found += [(i, i + 1 + j) for j in np.flatnonzero(same >= low).tolist() if classes[i] != classes[i + 1 + j]]
+    else:
+        best, by, open_ = np.full(len(nodes), -1.0), np.zeros(len(nodes), np.int64), np.ones(len(nodes), bool)
+        for _ in range(len(nodes)):
+            i = int(np.argmax(np.where(open_, best, -2)))
+            if best[i] >= low:
+                found.append((int(by[i]), i))
+            open_[i] = False
+            same = (codes == codes[i]).mean(axis=1)
+            closer = same > best
+            best[closer], by[closer] = same[closer], i
+    return [tuple(sorted((nodes[i], nodes[k]))) for i, k in found]
 
 
 def candidates(entries: DataFrame, signed: DataFrame, low: float) -> DataFrame:
