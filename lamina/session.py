@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,3 +26,17 @@ def local_session(cpus: int | str = "*", app: str = "lamina") -> SparkSession:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the star-schema or corpus tables below sf_dir."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """spark, once its executors can import this package wherever they run: a zip of it goes along with the session."""
+    context = spark.sparkContext
+    if getattr(context, "_lamina_shipped", None) is None:
+        root = Path(__file__).resolve().parent
+        path = Path(tempfile.mkdtemp(prefix="lamina-zip-")) / "lamina_package.zip"
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+            for file in sorted(root.rglob("*.py")):
+                out.write(file, Path("lamina") / file.relative_to(root))
+        context.addPyFile(str(path))
+        context._lamina_shipped = str(path)
+    return spark

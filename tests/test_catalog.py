@@ -27,3 +27,19 @@ def test_entry_stands_alone(spark):
 
     assert entry.entry(spark).count() == 20
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_stands_without_the_llm_folder(tmp_path):
+    """A copy without lamina/llm and corpus_pipeline.py imports and lists the engine's queries."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    shutil.copytree(root / "lamina", tmp_path / "lamina", ignore=shutil.ignore_patterns("llm"))
+    (tmp_path / "lamina/llm/__pycache__").mkdir(parents=True)
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.catalog.QUERIES), len(e.oracle_sql()))"
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert said.stdout.split() == ["True", str(len(catalog.ORACLE))], said.stderr
