@@ -71,14 +71,14 @@ def judge(
     parts = F.split("shape", "/", -1)
     nodes = leaves.select("host", "shape", "n", "labelled", "blocked", parts.alias("parts"), F.posexplode(parts).alias("depth", "part"))
     nodes = nodes.withColumn("parent", F.array_join(F.expr("slice(parts, 1, depth)"), "/")).drop("parts")
-    branches = nodes.groupBy("host", "parent", "part").agg(F.sum("n").alias("bn"), F.sum("labelled").alias("bl"), F.sum("blocked").alias("bb"))
-    parents = branches.groupBy("host", "parent").agg(F.sum("bn").alias("pn"), F.sum("bl").alias("pl"), F.sum("bb").alias("pb"), F.count(F.lit(1)).alias("width"))
+    branches = nodes.groupBy("host", "depth", "parent", "part").agg(F.sum("n").alias("bn"), F.sum("labelled").alias("bl"), F.sum("blocked").alias("bb"))
+    parents = branches.groupBy("host", "depth", "parent").agg(F.sum("bn").alias("pn"), F.sum("bl").alias("pl"), F.sum("bb").alias("pb"), F.count(F.lit(1)).alias("width"))
     rate = lambda b, n: (F.col(b) + 1) / (F.col(n) + 2)
     variable = (F.col("width") > 1) & (
         (F.col("bn") < min_share * F.col("pn")) | ((F.col("bl") > 0) & (F.abs(rate("bb", "bl") - rate("pb", "pl")) <= similar))
     )
-    named = branches.join(parents, ["host", "parent"]).select("host", "parent", "part", F.when(variable, "*").otherwise(F.col("part")).alias("named"))
-    templates = nodes.join(named, ["host", "parent", "part"]).groupBy("host", "shape").agg(
+    named = branches.join(parents, ["host", "depth", "parent"]).select("host", "depth", "parent", "part", F.when(variable, "*").otherwise(F.col("part")).alias("named"))
+    templates = nodes.join(named, ["host", "depth", "parent", "part"]).groupBy("host", "shape").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("depth", "named"))), lambda x: x["named"]), "/").alias("template")
     )
     leaves = leaves.join(templates, ["host", "shape"])
@@ -118,15 +118,15 @@ leaves AS (
 nodes AS (
   SELECT host, shape, n, labelled, blocked, depth, parts[depth + 1] AS part, array_to_string(parts[1:depth], '/') AS parent
   FROM (SELECT *, string_split(shape, '/') AS parts, unnest(range(0, len(string_split(shape, '/')))) AS depth FROM leaves)),
-branches AS (SELECT host, parent, part, sum(n) AS bn, sum(labelled) AS bl, sum(blocked) AS bb FROM nodes GROUP BY host, parent, part),
-parents AS (SELECT host, parent, sum(bn) AS pn, sum(bl) AS pl, sum(bb) AS pb, count(*) AS width FROM branches GROUP BY host, parent),
+branches AS (SELECT host, depth, parent, part, sum(n) AS bn, sum(labelled) AS bl, sum(blocked) AS bb FROM nodes GROUP BY host, depth, parent, part),
+parents AS (SELECT host, depth, parent, sum(bn) AS pn, sum(bl) AS pl, sum(bb) AS pb, count(*) AS width FROM branches GROUP BY host, depth, parent),
 named AS (
-  SELECT b.host, b.parent, b.part,
+  SELECT b.host, b.depth, b.parent, b.part,
     CASE WHEN width > 1 AND (bn < 0.05::DOUBLE * pn OR (bl > 0 AND abs((bb + 1)::DOUBLE / (bl + 2) - (pb + 1)::DOUBLE / (pl + 2)) <= 0.1::DOUBLE)) THEN '*' ELSE b.part END AS named
-  FROM branches b JOIN parents p ON b.host = p.host AND b.parent = p.parent),
+  FROM branches b JOIN parents p ON b.host = p.host AND b.depth = p.depth AND b.parent = p.parent),
 templates AS (
   SELECT n.host, n.shape, string_agg(m.named, '/' ORDER BY n.depth) AS template
-  FROM nodes n JOIN named m ON n.host = m.host AND n.parent = m.parent AND n.part = m.part GROUP BY n.host, n.shape),
+  FROM nodes n JOIN named m ON n.host = m.host AND n.depth = m.depth AND n.parent = m.parent AND n.part = m.part GROUP BY n.host, n.shape),
 pure AS (
   SELECT t.host, t.template, (sum(blocked) + 1)::DOUBLE / (sum(labelled) + 2) AS purity
   FROM leaves l JOIN templates t ON l.host = t.host AND l.shape = t.shape GROUP BY t.host, t.template)
