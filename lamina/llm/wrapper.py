@@ -17,7 +17,7 @@ execution splits.
 Defined edge cases: a null or empty html gives the empty text; a page without markup gives
 its text; a host with fewer than ``min_pages`` different pages has no constants; equal pages
 give equal texts; a null url or one without host forms a host of its own (empty); repeated
-rows give one result each; an empty table gives no row; other columns are ignored.
+rows give one result each; elements nested very deeply keep their text; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -66,9 +66,14 @@ class Node:
     path: str
     skipped: bool
     main: bool
+    depth: int = 0
     children: dict[str, Node] = field(default_factory=dict)
 
 
+#: Elements deeper than this share the template node of their ancestor at that depth.
+MAX_DEPTH = 100
+
+
 def parse(text: str) -> tuple[Node, list[tuple[Node, str, list[Node]]]]:
     """The folded tree and the page's text blocks in order: (node, text, open elements)."""
     root = Node("", "", "", False, False)
@@ -140,7 +145,10 @@ def parse(text: str) -> tuple[Node, list[tuple[Node, str, list[Node]]]]:
                 tag in SKIPPED or attrs.get("role", "").lower() in ROLES or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or not kept and bool(marks & BOILERPLATE)
             )
             main = tag in ("article", "main") or attrs.get("role", "").lower() in ("main", "article") or "articleBody" in m["attrs"]
-            node = up.children[name] = Node(tag, name, f"{up.path}/{name}", skipped, main)
+            if up.depth < MAX_DEPTH:
+                node = up.children[name] = Node(tag, name, f"{up.path}/{name}", skipped, main, up.depth + 1)
+            else:
+                node = Node(tag, name, up.path, skipped, main, up.depth)
         if not m["attrs"].endswith("/"):
             stack.append(node)
     say(text[at:])
