@@ -7,7 +7,6 @@ read again as the next stage's docs. All but the last return the columns of docu
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lamina.llm import common, neardup, packing, quality, secrets, tokens
 
@@ -15,9 +14,7 @@ from lamina.llm import common, neardup, packing, quality, secrets, tokens
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the pairwise quality classifier accepts."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.score(docs.withColumnRenamed("score", "_score") if "score" in docs.columns else docs, model)
-    kept = scored.where(F.col("score") >= quality.ACCEPT).drop("score")
-    return kept.withColumnRenamed("_score", "score") if "score" in docs.columns else kept
+    return quality.accepted(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

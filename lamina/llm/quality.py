@@ -123,16 +123,21 @@ def train(docs: DataFrame, labels: DataFrame, max_labels: int = 12_000) -> Ranke
     return fit(np.array([r[2] for r in rows], float), np.array([r[1] for r in rows]))
 
 
-def score(docs: DataFrame, model: Ranker) -> DataFrame:
-    """docs with a column `score`, all others kept."""
+def score(docs: DataFrame, model: Ranker, name: str = "score") -> DataFrame:
+    """docs with the score in a column `name`, all others kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.array([features(t or "") for t in batch.column("text").to_pylist()], float).reshape(-1, WIDTH)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x), pa.float64())], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x), pa.float64())], [*batch.schema.names, name])
 
-    rest = docs.drop("score") if "score" in docs.columns else docs
-    return rest.mapInArrow(run, rest.withColumn("score", F.lit(0.0)).schema)
+    return docs.mapInArrow(run, docs.withColumn(name, F.lit(0.0)).schema)
+
+
+def accepted(docs: DataFrame, model: Ranker) -> DataFrame:
+    """The rows of docs that the ranker accepts."""
+    name = common.fresh(docs, "score")
+    return score(docs, model, name).where(F.col(name) >= ACCEPT).drop(name)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
