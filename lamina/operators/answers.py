@@ -22,6 +22,13 @@ PROMPTS = {
     "complex_image": _ASK % ("picture", _COMMON + ', "complexity_data": {"underlying_type": text, "visible_text": text, "complexity_reasons": [text]}'),
 }
 
+#: Whole-page prompts for trying a model out, beside the two passes.
+AD_HOC = {
+    "plain_text": "Write down all text of this page.",
+    "markdown": FIRST_PASS,
+    "page_summary": 'Describe the page. Answer with one JSON object only: {"title": text, "sections": [text], "tables": [text], "figures": [text], "summary": text}',
+}
+
 ANSWER = "items array<string>, keywords array<string>, summary string"
 GRAPH = "graph_data struct<title:string,graph_type:string,x_axis:map<string,string>,y_axis:map<string,string>,legend:array<string>,trends:array<string>>"
 DIAGRAM = (
@@ -52,6 +59,13 @@ def figure_prompts(elements: DataFrame) -> DataFrame:
     return elements.withColumn("prompt_type", F.explode(F.array(F.lit("graph"), F.lit("diagram"), F.lit("complex_image"))))
 
 
+def page_prompts(pages: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Each page once per whole-page prompt."""
+    chosen = {n: AD_HOC[n] for n in names or AD_HOC}
+    one = F.array(*[F.struct(F.lit(n).alias("prompt_name"), F.lit(t).alias("prompt")) for n, t in chosen.items()])
+    return pages.withColumn("_p", F.explode(one)).select(*pages.columns, "_p.prompt_name", "_p.prompt")
+
+
 def without_end(response: Column, token: str) -> Column:
     """A response without the end token."""
     return F.replace(response, F.lit(token), F.lit(""))

@@ -137,6 +137,8 @@ def test_prompts(spark):
     with pytest.raises(Exception, match="no prompt for the type"):
         answers.with_prompts(spark.createDataFrame([("odd", "")], "element_type string, context string")).collect()
     assert answers.prompt_table(spark).count() == 7
+    pages = spark.createDataFrame([(1,), (2,)], "page_num int")
+    assert answers.page_prompts(pages).count() == 6 and answers.page_prompts(pages, ["markdown"]).first()["prompt"] == answers.FIRST_PASS
     assert spark.range(1).select(answers.without_end(F.lit("a<e>b"), "<e>").alias("x")).first()["x"] == "ab"
 
 
