@@ -37,18 +37,20 @@ from . import common, urls
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe)\b(?P<rawattrs>[^>]*)>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>|"
-    r"<(?P<end>/)?(?P<tag>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<(?P<end>/)?(?P<tag>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|</?[A-Za-z][^<>]*\Z",
     re.DOTALL | re.IGNORECASE,
 )
 ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr b bdi bdo big br cite code data dfn del em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 SKIPPED = set("nav header footer aside form button select option input label menu dialog head script style noscript template textarea title svg iframe object fieldset".split())
-WORDS = re.compile(r"[A-Za-z][a-z]*|[0-9]+")
+WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 BOILERPLATE = set(
     "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header "
     "masthead menu nav navbar navigation newsletter notice popup promo promoted related replies reply share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Inside the article these head the text itself.
+HEADS = {"header", "masthead", "banner"}
 ROLES = set("navigation banner contentinfo complementary search form menu menubar alert dialog".split())
 #: Opening one of the keys ends an open element of the values.
 CLOSES = {"p": "p", "li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
@@ -135,20 +137,20 @@ def parse(text: str) -> tuple[Node, list[tuple[Node, str, list[Node]]]]:
             if stack[k].tag in SCOPE:
                 break
         attrs = {a.lower(): b or c or d or "" for a, b, c, d in ATTR.findall(m["attrs"])} if m["attrs"] else {}
-        name = tag + "".join("." + c for c in sorted(attrs.get("class", "").split()))
         up = stack[-1]
+        marks = {w.lower() for a in ("class", "id") for w in WORDS.findall(attrs.get(a, ""))} if attrs and tag not in ("html", "body", "article", "main") else set()
+        marks = marks & BOILERPLATE | ({tag} & SKIPPED) | ({attrs.get("role", "").lower()} & ROLES)
+        if marks & HEADS and any(x.main for x in stack):
+            marks -= HEADS
+        skipped = bool(marks) or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true"
+        main = tag in ("article", "main") or attrs.get("role", "").lower() in ("main", "article") or "articleBody" in m["attrs"]
+        name = tag + "".join("." + c for c in sorted(attrs.get("class", "").split())) + "!" * skipped + "^" * main
         node = up.children.get(name)
         if node is None:
-            marks = {w.lower() for a in ("class", "id") for w in WORDS.findall(attrs.get(a, ""))}
-            kept = tag in ("html", "body", "article", "main")
-            skipped = up.skipped or (
-                tag in SKIPPED or attrs.get("role", "").lower() in ROLES or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or not kept and bool(marks & BOILERPLATE)
-            )
-            main = tag in ("article", "main") or attrs.get("role", "").lower() in ("main", "article") or "articleBody" in m["attrs"]
             if up.depth < MAX_DEPTH:
-                node = up.children[name] = Node(tag, name, f"{up.path}/{name}", skipped, main, up.depth + 1)
+                node = up.children[name] = Node(tag, name, f"{up.path}/{name}", up.skipped or skipped, main, up.depth + 1)
             else:
-                node = Node(tag, name, up.path, skipped, main, up.depth)
+                node = Node(tag, name, up.path, up.skipped or skipped, main, up.depth)
         if not m["attrs"].endswith("/"):
             stack.append(node)
     say(text[at:])

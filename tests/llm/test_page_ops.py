@@ -49,6 +49,22 @@ def test_constant_nodes_become_template(spark):
     assert got[3] == "3\n\nBody 3" and got[51] == "1\n\nFollow our channel for updates\n\nBody 1"
 
 
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<header><h1>Site</h1></header><article><header><h1>Title</h1></header><p>Body</p><footer>by us</footer></article>", "Title\n\nBody"),
+        ("<main><div class='article-header'><h2>T</h2></div><p>B</p><div class=userComments><p>c</p></div><div class='ADS top'>x</div></main>", "T\n\nB"),
+        ("<div role=navigation>m</div><div role='main'><p>a<p>b<div hidden>c</div></div><div class=site-header>s</div>", "a\n\nb"),
+        ("<article><pre>x\n  y</pre><table><tr><td>1<td>2</table><p>a<br/>b<!-- c --><script>d</script>e</p>&lt;tail&gt; &#x41;&eacute;</article>", "x y\n\n1\n\n2\n\na be\n\n<tail> Aé"),
+        ("<p>1 < 2 and <b>x</p", "1 < 2 and x"),
+        ("<article><p>open", "open"),
+        ("<article><p title=don't>a</p><p title='x > y'>isn't</p><a href=\"u>v\">b</a>", "a\n\nisn't\n\nb"),
+    ],
+)
+def test_markup(html, want):
+    assert wrapper.main_text(html, {}, 20) == want
+
+
 def test_copies_are_no_template(spark):
     html = "<article><p>Same on all copies</p></article>"
     got = wrapper.extract(pages(spark, [(k, f"http://h.example/{k}", html) for k in range(40)])).collect()
