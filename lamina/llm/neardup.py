@@ -1,18 +1,18 @@
 """Near-duplicate classes by improved consistent weighted sampling.
 
-Word shingles (lower case, white space split) are weighted by TF-IDF: (1 + ln tf) times an
-idf factor that runs from 1 (a shingle of all documents) to 1 + idf_strength (of one). The
+Word shingles (lower case, white space split) are weighted by TF-IDF: (1 + log2 tf, rounded down)
+times an idf factor that runs from 1 (a shingle of all documents) to 1 + idf_strength (of one). The
 factor is mild so that copies, whose shingles are frequent because they are copies, keep
 their similarity. Document frequencies are hashed counts over all documents in a table of
 fixed size, of which only the logarithms are broadcast.
 
 Consistent weighted samples of a text give band keys; texts that share a key are compared by
 their sample codes, and pairs that may reach the threshold are verified by exact weighted
-Jaccard similarity. Equal texts are one node throughout. A bucket first gives a maximum
-spanning forest of its estimates; once classes are known, every remaining estimated pair
-between different classes is verified too, so no group is expanded into pairs of the same
-class. Buckets of more than ``chunk`` texts are dealt into chunks that all hold the bucket's
-first text. Classes are the connected components of verified pairs, found by distributed
+Jaccard similarity. Equal texts are one node throughout. First a maximum spanning forest of
+each bucket's estimates is verified; once classes are known, every remaining possible pair
+between different classes of a bucket is verified within its task, which gives at most one
+link per class. Buckets of more than ``chunk`` texts are dealt into chunks that all hold the
+bucket's first text. Classes are the connected components of verified pairs, found by distributed
 label propagation.
 
 Defined edge cases: a null text counts as empty; texts without words are duplicates of equal
@@ -24,7 +24,7 @@ repeated rows belong to one class; an empty table gives no row; other columns ar
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -40,7 +40,7 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 5
 SAMPLES = BANDS * ROWS
 #: Sizes of the table of hashed document frequencies, its parts, and of the table of random variates.
-WIDTH, PARTS, VARIATES = 1 << 22, 64, 1 << 13
+WIDTH, PARTS, VARIATES = 1 << 22, 64, 1 << 10
 #: Pairs whose share of equal samples is lower can hardly reach the threshold: three standard deviations.
 MARGIN = 3 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / SAMPLES)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15))
@@ -59,7 +59,7 @@ class Hashes(dict):
     def __missing__(self, word: str) -> int:
         h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         if len(word) <= 32:
-            if len(self) >= 500_000:
+            if len(self) >= 300_000:
                 self.clear()
             self[word] = h
         return h
@@ -68,17 +68,22 @@ class Hashes(dict):
 HASHES = Hashes()
 
 
-def shingles(text: str, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of a text and their counts."""
+def hashes(text: str, n: int = SHINGLE) -> np.ndarray:
+    """The hash of every shingle of a text, in order."""
     words = text.lower().split()
     if not words:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64)
     h = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
     n = min(n, len(h))
     out = np.zeros(len(h) - n + 1, np.uint64)
     for k in range(n):
-        out = mixed(out * MIX[2] + h[k : len(h) - n + 1 + k])
-    return np.unique(out, return_counts=True)
+        out = out * MIX[2] + h[k : len(h) - n + 1 + k]
+    return mixed(out)
+
+
+def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of a text and their counts."""
+    return np.unique(hashes(text), return_counts=True)
 
 
 def slot(h: np.ndarray) -> np.ndarray:
@@ -86,7 +91,7 @@ def slot(h: np.ndarray) -> np.ndarray:
 
 
 def frequency_levels(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """log2 of the hashed document frequencies, in eighths, and the number of documents.
+    """Rounded log2 of the hashed document frequencies, and the number of documents.
 
     Each task sums its documents into one table; parts of the tables are added up by part.
     The result has WIDTH bytes, whatever the number of documents.
@@ -96,8 +101,7 @@ def frequency_levels(docs: DataFrame) -> tuple[np.ndarray, int]:
         table, n, pack = np.zeros(WIDTH, np.int32), 0, zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                at = slot(shingles(text or "")[0])
-                np.add.at(table, at, 1)
+                table[slot(hashes(text or ""))] += 1  # a slot counts once per document
                 n += 1
         if n:
             size = WIDTH // PARTS
@@ -114,7 +118,7 @@ def frequency_levels(docs: DataFrame) -> tuple[np.ndarray, int]:
                 total[part] = total[part] + own if part in total else own
                 docs_[part] = docs_.get(part, 0) + n
         for part, sums in total.items():
-            level = np.minimum(255, np.round(8 * np.log2(np.maximum(sums, 1)))).astype(np.uint8)
+            level = np.round(np.log2(np.maximum(sums, 1))).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([docs_[part]], pa.int64()), pa.array([level.tobytes()], pa.binary())], ["part", "n", "data"])
 
     kind = "part int, n long, data binary"
@@ -127,54 +131,51 @@ def frequency_levels(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 def weights(h: np.ndarray, tf: np.ndarray, levels: np.ndarray, docs: int, strength: float) -> np.ndarray:
     """TF-IDF weight of each shingle, in float32."""
-    rare = 1 - levels[slot(h)] / max(8 * math.log2(max(docs, 2)), 1)
-    return ((1 + np.log(tf)) * (1 + strength * np.clip(rare, 0, 1))).astype(np.float32)
+    rare = 1 - levels[slot(h)] / math.log2(max(docs, 2))
+    return ((1 + np.floor(np.log2(tf))) * (1 + strength * np.clip(rare, 0, 1))).astype(np.float32)
 
 
 @lru_cache(maxsize=1)
 def variates(seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r and c of Gamma(2, 1) and beta of U(0, 1) for each table row and sample."""
+    """r and c of Gamma(2, 1) and beta of U(0, 1) for each sample and table row."""
     rng = np.random.default_rng(seed)
-    shape = (VARIATES, SAMPLES)
+    shape = (SAMPLES, VARIATES)
     return rng.gamma(2, 1, shape).astype(np.float32), np.log(rng.gamma(2, 1, shape)).astype(np.float32), rng.random(shape, np.float32)
 
 
-def draws(log_w: np.float32, rows: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray]:
-    """ln a and t of the samples of table rows for one weight."""
-    r, ln_c, beta = (x[rows] for x in variates())
-    t = np.floor(log_w / r + beta)
-    return ln_c - r * (t - beta) - r, t.astype(np.int16)
-
-
-@lru_cache(maxsize=16)
-def drawn(log_w: np.float32) -> tuple[np.ndarray, np.ndarray]:
-    return draws(log_w, slice(None))
+@lru_cache(maxsize=24)
+def drawn(log_w: float) -> np.ndarray:
+    """ln a of every sample and table row for one weight."""
+    r, ln_c, beta = variates()
+    return ln_c - r * (np.floor(np.float32(log_w) / r + beta) - beta) - r
 
 
 SALT = mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * MIX[2])
+EACH = np.arange(SAMPLES)
 
 
 def samples(h: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """SAMPLES 64-bit values; two texts agree in one with the probability of their weighted Jaccard similarity."""
+    """SAMPLES 64-bit values; two texts agree in one with the probability of their weighted Jaccard similarity.
+
+    A sample's table row stays in cache while the shingles of one weight look themselves up in it.
+    """
     row = (h & np.uint64(VARIATES - 1)).astype(np.int64)
-    best, out, each = np.full(SAMPLES, np.inf, np.float32), np.zeros(SAMPLES, np.uint64), np.arange(SAMPLES)
-    for value in np.unique(w):
-        own = np.flatnonzero(w == value)
-        log_w = np.float32(math.log(value))
+    best, out = np.full(SAMPLES, np.inf, np.float32), np.zeros(SAMPLES, np.uint64)
+    r, _, beta = variates()
+    values, which = np.unique(w, return_inverse=True)
+    for k, value in enumerate(values.tolist()):
+        own = np.flatnonzero(which == k)
+        log_w = math.log(value)
+        table = drawn(log_w)
         for begin in range(0, len(own), 4096):
             part = own[begin : begin + 4096]
-            if len(part) >= 128:
-                table, steps = drawn(log_w)
-                ln_a = table[row[part]]
-                first = ln_a.argmin(axis=0)
-                low, t = ln_a[first, each], steps[row[part[first]], each]
-            else:
-                ln_a, steps = draws(log_w, row[part])
-                first = ln_a.argmin(axis=0)
-                low, t = ln_a[first, each], steps[first, each]
+            ln_a = np.take(table, row[part], axis=1)
+            first = ln_a.argmin(axis=1)
+            low, at = ln_a[EACH, first], part[first]
             better = low < best
-            best[better] = low[better]
-            out[better] = mixed(h[part[first[better]]] + t[better].astype(np.int64).astype(np.uint64) * MIX[2])
+            best = np.where(better, low, best)
+            t = np.floor(np.float32(log_w) / r[EACH, row[at]] + beta[EACH, row[at]])
+            out = np.where(better, mixed(h[at] + t.astype(np.int64).astype(np.uint64) * MIX[2]), out)
     return mixed(out ^ SALT)
 
 
@@ -206,61 +207,139 @@ def signatures(rows: DataFrame, shared, strength: float) -> DataFrame:
     return rows.select("doc_id", "node", "text").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {SIGNED}")
 
 
-def links_of(nodes: list[bytes], codes: np.ndarray, classes: list[bytes] | None, low: float) -> list[tuple[bytes, bytes]]:
-    """Pairs of a chunk to verify: a maximum spanning forest of the estimates, or, with classes, all between classes.
+def forest(codes: np.ndarray, low: float) -> list[tuple[int, int]]:
+    """A maximum spanning forest of a chunk by estimated similarity, of edges of at least low.
 
-    The forest grows a node at a time by the best estimate to any node so far, so it holds one
+    It grows a node at a time by the best estimate to any node so far, so it holds one
     estimate per node, never one per pair.
     """
-    found = []
-    if classes is not None:
-        for i in range(len(nodes) - 1):
-            same = (codes[i + 1 :] == codes[i]).mean(axis=1)
-            found += [(i, i + 1 + j) for j in np.flatnonzero(same >= low).tolist() if classes[i] != classes[i + 1 + j]]
-    else:
-        best, by, open_ = np.full(len(nodes), -1.0), np.zeros(len(nodes), np.int64), np.ones(len(nodes), bool)
-        for _ in range(len(nodes)):
-            i = int(np.argmax(np.where(open_, best, -2)))
-            if best[i] >= low:
-                found.append((int(by[i]), i))
-            open_[i] = False
-            same = (codes == codes[i]).mean(axis=1)
-            closer = same > best
-            best[closer], by[closer] = same[closer], i
-    return [tuple(sorted((nodes[i], nodes[k]))) for i, k in found]
+    n = len(codes)
+    found, best, by, open_ = [], np.full(n, -1.0), np.zeros(n, np.int64), np.ones(n, bool)
+    for _ in range(n):
+        i = int(np.argmax(np.where(open_, best, -2)))
+        if best[i] >= low:
+            found.append((int(by[i]), i))
+        open_[i] = False
+        same = (codes == codes[i]).mean(axis=1)
+        closer = same > best
+        best[closer], by[closer] = same[closer], i
+    return found
 
 
-def candidates(entries: DataFrame, signed: DataFrame, low: float) -> DataFrame:
-    """Distinct pairs (a, b) to verify from entries (node, band, key, part[, class])."""
-    classed = "class" in entries.columns
+def between(codes: np.ndarray, classes: np.ndarray, low: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Each node of a chunk with the later nodes of other classes that it may be similar to."""
+    for i in range(len(codes) - 1):
+        other = np.flatnonzero(classes[i + 1 :] != classes[i]) + i + 1
+        if len(other):
+            near = other[(codes[other] == codes[i]).mean(axis=1) >= low]
+            if len(near):
+                yield i, near
+
+
+BUCKET = ["band", "key", "part"]
+
+
+def by_bucket(rows: DataFrame, each: Callable[[list[dict]], list[tuple]], schema: str) -> DataFrame:
+    """each over the rows of every chunk of a bucket, whose size is bounded by the dealing; nodes sorted, each once."""
+    columns = [c for c in rows.columns if c not in BUCKET]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held = None, []
+        current, held, out = None, {}, []
 
-        def pairs() -> list:
-            if len(held) < 2:
-                return []
-            rows = sorted({h[0]: h for h in held}.values())
-            codes = np.frombuffer(b"".join(r[1] for r in rows), np.uint8).reshape(len(rows), SAMPLES)
-            return links_of([r[0] for r in rows], codes, [r[2] for r in rows] if classed else None, low)
+        def done() -> None:
+            if len(held) > 1:
+                out.extend((*current, *r)[-width:] for r in each([held[k] for k in sorted(held)]))
+
+        def flush() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
+            out.clear()
+            return made
 
         for batch in batches:
             col = {n: batch.column(n).to_pylist() for n in batch.schema.names}
-            out = []
             for i in range(batch.num_rows):
-                key = (col["band"][i], col["key"][i], col["part"][i])
+                key = tuple(col[n][i] for n in BUCKET)
                 if key != current:
-                    out += pairs()
-                    current, held = key, []
-                held.append((col["node"][i], col["codes"][i], col["class"][i] if classed else None))
+                    done()
+                    current, held = key, {}
+                held[col["node"][i]] = {n: col[n][i] for n in columns}
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["a", "b"])
-        if out := pairs():
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["a", "b"])
+                yield flush()
+        done()
+        if out:
+            yield flush()
+
+    names = [c.split()[0] for c in schema.split(", ")]
+    types = {"binary": pa.binary(), "int": pa.int32(), "long": pa.int64()}
+    kinds, width = [types[c.split()[1]] for c in schema.split(", ")], len(names)
+    return rows.repartition(*BUCKET).sortWithinPartitions(*BUCKET).mapInArrow(run, schema)
+
+
+def code_rows(held: list[dict]) -> np.ndarray:
+    return np.frombuffer(b"".join(h["codes"] for h in held), np.uint8).reshape(len(held), SAMPLES)
+
+
+def class_numbers(held: list[dict]) -> np.ndarray:
+    return np.unique([h["class"].hex() for h in held], return_inverse=True)[1]
+
+
+def candidates(entries: DataFrame, signed: DataFrame, low: float) -> DataFrame:
+    """Distinct pairs (a, b) of the buckets' spanning forests, from entries (node, band, key, part)."""
+
+    def each(held: list[dict]) -> list[tuple]:
+        return [tuple(sorted((held[i]["node"], held[k]["node"]))) for i, k in forest(code_rows(held), low)]
+
+    return by_bucket(entries.join(signed.select("node", "codes"), "node"), each, "a binary, b binary").distinct()
+
+
+def nominated(entries: DataFrame, signed: DataFrame, low: float) -> DataFrame:
+    """Entries (with class) that have a possible partner of another class in their chunk, with their codes."""
+
+    def each(held: list[dict]) -> list[tuple]:
+        found: set[int] = set()
+        for i, near in between(code_rows(held), class_numbers(held), low):
+            found.add(i)
+            found.update(near.tolist())
+        return [(held[k]["node"], held[k]["class"], held[k]["codes"]) for k in sorted(found)]
+
+    return by_bucket(entries.join(signed.select("node", "codes"), "node"), each, "band int, key long, part int, node binary, class binary, codes binary")
+
+
+def vector(text: str | None, levels: np.ndarray, docs: int, strength: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """Shingle hashes of a text, their weights and the sum of these."""
+    h, tf = shingles(text or "")
+    w = weights(h, tf, levels, docs, strength).astype(float)
+    return h, w, float(w.sum())
 
-    rows = entries.join(signed.select("node", "codes"), "node")
-    dealt = rows.repartition("band", "key", "part").sortWithinPartitions("band", "key", "part")
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+
+def similar(x: tuple, y: tuple, threshold: float) -> bool:
+    """Whether the exact weighted Jaccard similarity of two vectors reaches the threshold."""
+    (h, w, a), (g, v, b) = (x, y) if len(x[0]) <= len(y[0]) else (y, x)
+    if not len(h) or min(a, b) < threshold * max(a, b) - 1e-9:
+        return False
+    at = np.minimum(np.searchsorted(g, h), len(g) - 1)
+    hit = g[at] == h
+    both = float(np.minimum(w[hit], v[at[hit]]).sum())
+    return both >= threshold * (a + b - both) - 1e-9
+
+
+def linked(entries: DataFrame, texts: DataFrame, shared, low: float, threshold: float, strength: float) -> DataFrame:
+    """Verified pairs (a, b) between classes, from nominated entries; a chunk gives at most one per class less one.
+
+    Every possible pair between classes that are not linked yet is verified within its chunk.
+    """
+
+    def each(held: list[dict]) -> list[tuple]:
+        levels, n = shared.value
+        own, classes, out = [vector(h["text"], levels, n, strength) for h in held], class_numbers(held), []
+        for i, near in between(code_rows(held), classes, low):
+            for k in near.tolist():
+                if classes[i] != classes[k] and similar(own[i], own[k], threshold):
+                    out.append(tuple(sorted((held[i]["node"], held[k]["node"]))))
+                    classes[classes == classes[k]] = classes[i]
+        return out
+
+    return by_bucket(entries.join(texts, "node"), each, "a binary, b binary").distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, shared, threshold: float, strength: float) -> DataFrame:
@@ -269,20 +348,12 @@ def verified(pairs: DataFrame, texts: DataFrame, shared, threshold: float, stren
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, n = shared.value
         last, own = None, None
-
-        def vector(text: str) -> tuple[np.ndarray, np.ndarray]:
-            h, tf = shingles(text or "")
-            return h, weights(h, tf, levels, n, strength).astype(float)
-
         for batch in batches:
             keep = []
             for a, x, y in zip(batch.column("a").to_pylist(), batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
                 if a != last:
-                    last, own = a, vector(x)
-                (h, w), (g, v) = own, vector(y)
-                _, i, j = np.intersect1d(h, g, assume_unique=True, return_indices=True)
-                common_ = np.minimum(w[i], v[j]).sum()
-                keep.append(bool(common_ >= threshold * (w.sum() + v.sum() - common_) - 1e-9))
+                    last, own = a, vector(x, levels, n, strength)
+                keep.append(similar(own, vector(y, levels, n, strength), threshold))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -312,7 +383,7 @@ def node_of(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD, idf_strength: float = 0.1, chunk: int = 1000) -> DataFrame:
+def classes(docs: DataFrame, threshold: float = THRESHOLD, idf_strength: float = 0.1, chunk: int = 500) -> DataFrame:
     """doc_id, node, class_id, class_size for every row of docs (doc_id, text)."""
     rows = docs.select("doc_id", "text", node_of(F.col("text")).alias("node"))
     shared = docs.sparkSession.sparkContext.broadcast(frequency_levels(rows))  # WIDTH bytes
@@ -334,12 +405,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, idf_strength: float =
     labels = components(links)
 
     classed = entries.join(labels.withColumnRenamed("root", "class"), "node", "left").withColumn("class", F.coalesce("class", "node"))
-    mixed_ = classed.groupBy("band", "key", "part").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select("band", "key", "part")
-    rest = candidates(classed.join(mixed_, ["band", "key", "part"]), signed, low).join(first, ["a", "b"], "left_anti")
-    rest = common.stored(rest, "pairs")
+    several = classed.groupBy(BUCKET).agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select(BUCKET)
+    rest = common.stored(nominated(classed.join(several, BUCKET), signed, low), "nominated")
     if rest.limit(1).count():
-        needed = rest.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        more = verified(rest, _texts(rows, signed, needed), shared, threshold, idf_strength)
+        more = linked(rest, _texts(rows, signed, rest.select("node").distinct()), shared, low, threshold, idf_strength)
         labels = components(links.union(common.stored(more, "links")))
 
     members = signed_rows.select("doc_id", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -356,17 +425,18 @@ def _texts(rows: DataFrame, signed: DataFrame, needed: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """docs with one row of each class: that with the smallest id."""
-    keyed = docs.select("doc_id", "text")
-    found = classes(keyed, **options).groupBy("doc_id", "node", "class_id").agg(F.count(F.lit(1)).alias("rows"))
-    kept = common.stored(found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"), "class_id", "rows"), "kept")
-    kept = kept.withColumnsRenamed({"class_id": "_class", "rows": "_rows"})
-    stays = docs.withColumn("_node", node_of(F.col("text")))
-    stays = stays.join(kept, (stays["_node"] == kept["_node"]) & stays["doc_id"].eqNullSafe(kept["_id"])).drop(kept["_node"])
-    if not kept.where("_rows > 1").limit(1).count() and not kept.groupBy("_class").count().where("count > 1").limit(1).count():
+    found = classes(docs.select("doc_id", "text"), **options).groupBy("doc_id", "node", "class_id").agg(F.count(F.lit(1)).alias("rows"))
+    one, node, root, n = (common.fresh(docs, f"_{c}") for c in ("kept_id", "node", "class", "rows"))
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(one), F.col("node").alias(node + "k"), F.col("class_id").alias(root), F.col("rows").alias(n))
+    kept = common.stored(kept, "kept")
+    stays = docs.withColumn(node, node_of(F.col("text"))).join(kept, (F.col(node) == F.col(node + "k")) & F.col("doc_id").eqNullSafe(F.col(one)))
+    repeated = kept.groupBy(root).agg(F.sum(n).alias("n")).where("n > 1").select(root)
+    if repeated.limit(1).count() == 0:
         return stays.select(docs.columns)
-    repeated = kept.groupBy("_class").agg(F.sum("_rows").alias("n")).where("n > 1").select("_class")
-    single = stays.join(repeated, "_class", "left_anti")
-    several = stays.join(repeated, "_class").dropDuplicates(["_class"])
+    again = common.fresh(docs, "_again")
+    same = stays.join(repeated.withColumnRenamed(root, again), F.col(root).eqNullSafe(F.col(again)), "left")
+    several = same.where(F.col(again).isNotNull() | F.col(root).isNull()).dropDuplicates([root])
+    single = same.where(F.col(again).isNull() & F.col(root).isNotNull())
     return single.select(docs.columns).union(several.select(docs.columns))
 
 
