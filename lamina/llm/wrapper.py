@@ -10,9 +10,9 @@ The content region is the page's article or main element, or, without one, the n
 slots hold most text. Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and comments are told by tag, role, class or id and never count as content.
 
-Only digests of slots are grouped, and host templates are built from distinct layouts, both
-pre-aggregated; pages meet their host's template in an equi-join whose hot hosts adaptive
-execution splits.
+Only digests of slots are grouped, pre-aggregated, and distinct layouts are aligned in groups
+of bounded size; pages meet their host's constant paths in an equi-join whose hot hosts
+adaptive execution splits.
 
 Defined edge cases: a null or empty html gives the empty text; a page without markup gives
 its text; a host with fewer than ``min_pages`` different pages has no constants; equal pages
@@ -187,25 +187,27 @@ def matching(a: list, b: list) -> tuple[int, list[tuple[list, list]]]:
 
 
 class Template:
-    """The aligned tree of a host: every layout's nodes get template numbers."""
+    """The aligned tree of some layouts; a template node is named by its path, later ones of a path with a number."""
 
     def __init__(self):
         self.tree: list = ["", []]
-        self.number: dict[int, int] = {id(self.tree): 0}
+        self.name: dict[int, str] = {id(self.tree): ""}
+        self.used: dict[str, int] = {}
 
-    def align(self, tree: list) -> dict[str, int]:
-        """path -> template number; unmatched nodes join the template below their matched parent."""
+    def align(self, tree: list) -> dict[str, str]:
+        """path -> template node; unmatched nodes join the template below their matched parent."""
         _, pairs = matching(self.tree, tree)
         own = {id(b): a for a, b in pairs}
-        out: dict[str, int] = {}
+        out: dict[str, str] = {}
 
         def walk(node: list, path: str, parent: list | None) -> None:
             match = own.get(id(node))
             if match is None:
                 match = [node[0], []]
-                self.number[id(match)] = len(self.number)
+                n = self.used[path] = self.used.get(path, 0) + 1
+                self.name[id(match)] = path if n == 1 else f"{path}~{n}"
                 (parent or self.tree)[1].append(match)
-            out[path] = self.number[id(match)]
+            out[path] = self.name[id(match)]
             for c in node[1]:
                 walk(c, f"{path}/{c[0]}", match)
 
@@ -217,7 +219,7 @@ def number(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-SLOTS = "host string, layout string, path string, chars long, digest long, page long"
+SLOTS = "host string, layout string, path string, digest long, page long"
 
 
 def slots(pages: DataFrame) -> DataFrame:
@@ -232,53 +234,47 @@ def slots(pages: DataFrame) -> DataFrame:
                 by: dict[str, list[str]] = {}
                 for node, block, _ in blocks:
                     by.setdefault(node.path, []).append(block)
-                out += [(host, shape, path, sum(map(len, b)), number("\n".join(b)), page) for path, b in by.items()]
-            kinds = [pa.string()] * 3 + [pa.int64()] * 3
-            cols = zip(*out, strict=True) if out else [()] * 6
+                out += [(host, shape, path, number("\n".join(b)), page) for path, b in by.items()]
+            kinds = [pa.string()] * 3 + [pa.int64()] * 2
+            cols = zip(*out, strict=True) if out else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], [x.split()[0] for x in SLOTS.split(", ")])
 
     return pages.select("host", "html").mapInArrow(run, SLOTS)
 
 
-def induce(found: DataFrame) -> DataFrame:
-    """host, constant (array of struct layout, paths), region (path of most slot text) from SLOTS rows.
+def induce(found: DataFrame, min_pages: int, together: int = 200) -> DataFrame:
+    """host, constant (paths) from SLOTS rows: nodes that say the same on min_pages or more different pages of the host.
 
-    The different pages of a node are told by the smallest and largest page digest and an
-    approximate distinct count, all of which combine before the shuffle; a host's group then
-    holds one row per distinct layout and node.
+    Statistics of nodes are minima, maxima and distinct-count sketches, which all combine before
+    their shuffles. The layouts of a host are aligned in groups of about `together`; template
+    nodes of the groups meet by name, so no host meets in one task.
     """
-    nodes = found.groupBy("host", "layout", "path").agg(
-        F.min("digest").alias("low"), F.max("digest").alias("high"), F.approx_count_distinct("page", 0.02).alias("pages"), F.sum("chars").alias("chars")
-    )
+    nodes = found.groupBy("host", "layout", "path").agg(F.min("digest").alias("low"), F.max("digest").alias("high"), F.hll_sketch_agg("page", 10).alias("pages"))
+    nodes = common.stored(nodes, "nodes")
 
     def build(key, table):
-        rows, template, merged, ids = table.to_pylist(), Template(), {}, {}
-        for shape in sorted({r["layout"] for r in rows}):
-            ids[shape] = template.align(json.loads(shape))
-        for r in rows:
-            k = ids[r["layout"]].get(r["path"], -1)
-            m = merged.setdefault(k, [r["low"], r["high"], 0, 0])
-            m[:] = [min(m[0], r["low"]), max(m[1], r["high"]), m[2] + r["pages"], m[3] + r["chars"]]
-        constant: dict[str, list[str]] = {}
-        for r in rows:
-            low, high, pages, _ = merged[ids[r["layout"]].get(r["path"], -1)]
-            if low == high and pages >= 2:
-                constant.setdefault(r["layout"], []).append(json.dumps([r["path"], pages]))
-        return pa.Table.from_pydict(
-            {"host": [key[0].as_py()], "constant": [[{"layout": a, "paths": sorted(b)} for a, b in sorted(constant.items())]]},
-            pa.schema([("host", pa.string()), ("constant", pa.list_(pa.struct([("layout", pa.string()), ("paths", pa.list_(pa.string()))])))]),
-        )
-
-    return nodes.groupBy("host").applyInArrow(build, "host string, constant array<struct<layout:string,paths:array<string>>>")
-
-
-def main_text(text: str, constant: dict[str, dict[str, int]], min_pages: int) -> str:
-    """The main text of a page, given its host's constant nodes by layout."""
+        template, out = Template(), []
+        for shape in sorted(table.column("layout").to_pylist()):
+            out += [(key[0].as_py(), shape, path, node) for path, node in template.align(json.loads(shape)).items()]
+        return pa.Table.from_arrays([pa.array(c, pa.string()) for c in zip(*out, strict=True)], ["host", "layout", "path", "node"])
+
+    layouts = nodes.select("host", "layout").distinct()
+    parts = layouts.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / together).alias("parts"))
+    dealt = layouts.join(parts, "host").withColumn("part", F.pmod(F.xxhash64("layout"), F.col("parts")))
+    aligned = dealt.groupBy("host", "part").applyInArrow(build, "host string, layout string, path string, node string")
+    named = nodes.join(aligned, ["host", "layout", "path"])
+    fixed = named.groupBy("host", "node").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.hll_sketch_estimate(F.hll_union_agg("pages")).alias("pages"))
+    fixed = fixed.select("host", "node", ((F.col("low") == F.col("high")) & (F.col("pages") >= min_pages)).alias("fixed"))
+    paths = named.select("host", "path", "node").distinct().join(fixed, ["host", "node"]).groupBy("host", "path").agg(F.every("fixed").alias("fixed"))
+    return paths.where("fixed").groupBy("host").agg(F.array_sort(F.collect_list("path")).alias("constant"))
+
+
+def main_text(text: str, constant: set[str]) -> str:
+    """The main text of a page, given the paths of its host's constant nodes."""
     if not text:
         return ""
-    root, blocks = parse(text)
-    fixed = constant.get(json.dumps(layout(root)), {}) if constant else {}
-    slot = [b for b in blocks if not b[0].skipped and not any(n.skipped for n in b[2]) and fixed.get(b[0].path, 0) < min_pages]
+    _, blocks = parse(text)
+    slot = [b for b in blocks if not b[0].skipped and not any(n.skipped for n in b[2]) and b[0].path not in constant]
     inside = [b for b in slot if any(n.main for n in b[2])]
     if not inside and slot:
         mass: dict[str, int] = {}
@@ -291,22 +287,27 @@ def main_text(text: str, constant: dict[str, dict[str, int]], min_pages: int) ->
     return "\n\n".join(b for _, b, _ in inside)
 
 
+def pages_with_hosts(pages: DataFrame) -> DataFrame:
+    """page_id, url, html, host."""
+    host, _ = urls.host_and_path(F.col("url"))
+    return pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
+
+
 def extract(pages: DataFrame, min_pages: int = 20) -> DataFrame:
     """page_id, url, text, n_chars for every row of pages (page_id, url, html)."""
-    host, _ = urls.host_and_path(F.col("url"))
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
-    templates = induce(slots(rows))
+    rows = pages_with_hosts(pages)
+    templates = induce(slots(rows), min_pages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, dict] = {}
+        known: dict[str, set] = {}
         for batch in batches:
             texts, constants = [], batch.column("constant")
             for k, (host, page) in enumerate(zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True)):
                 if host not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[host] = {c["layout"]: dict(map(json.loads, c["paths"])) for c in constants[k].as_py() or ()}
-                texts.append(main_text(page, known[host], min_pages))
+                    known[host] = set(constants[k].as_py() or ())
+                texts.append(main_text(page, known[host]))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     joined = rows.join(templates, "host", "left").select("page_id", "url", "html", "host", "constant")

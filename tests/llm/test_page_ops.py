@@ -62,7 +62,7 @@ def test_constant_nodes_become_template(spark):
     ],
 )
 def test_markup(html, want):
-    assert wrapper.main_text(html, {}, 20) == want
+    assert wrapper.main_text(html, set()) == want
 
 
 def test_copies_are_no_template(spark):
@@ -71,6 +71,14 @@ def test_copies_are_no_template(spark):
     assert {r["text"] for r in got} == {"Same on all copies"}
 
 
+def test_layouts_in_small_groups(spark):
+    """Constants are found across groups of layouts that were aligned apart."""
+    rows = [(k, f"http://h.example/{k}", f"<article><h1>{k}</h1><div class=box>Always the same</div>" + f"<div class=v{k}>own {k}</div></article>") for k in range(40)]
+    found = wrapper.slots(wrapper.pages_with_hosts(pages(spark, rows)))
+    one, many = (wrapper.induce(found, 20, n).collect() for n in (200, 3))
+    assert [r["constant"] for r in one] == [r["constant"] for r in many] == [["/article^/div.box"]]
+
+
 def test_tree_matching():
     tree = lambda name, *kids: [name, list(kids)]
     a = tree("a", tree("b", tree("d")), tree("c"))
