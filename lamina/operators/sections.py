@@ -21,30 +21,27 @@ def headings(blocks: DataFrame) -> DataFrame:
     )
 
 
-def parent_at(level: Column, index: Column, order: list[str], key: str = "doc_id", depth: int | None = 6) -> Column:
-    """doc_index of the nearest earlier heading of a smaller level; null for roots.
+def parent_at(level: Column, found: Column, order: list[str], key: str = "doc_id", depth: int | None = 6) -> Column:
+    """`found` of the nearest earlier heading of a smaller level; null for roots. found: a struct led by doc_index.
 
     With a bounded depth: the latest heading of each smaller level, of which the latest wins.
-    A level beyond depth, or depth None, takes the array form, exact at any depth.
+    depth None takes the array form, exact at any depth.
     """
     before = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    deep = F.collect_list(F.struct(index.alias("i"), level.alias("l"))).over(before)
-    deep = F.array_max(F.transform(F.filter(deep, lambda s: s["l"] < level), lambda s: s["i"]))
     if depth is None:
-        return deep
-    upper = [F.when(level > k, F.last(F.when(level == k, index), ignorenulls=True).over(before)) for k in range(1, depth)]
+        deep = F.collect_list(F.struct(found.alias("f"), level.alias("l"))).over(before)
+        return F.array_max(F.transform(F.filter(deep, lambda s: s["l"] < level), lambda s: s["f"]))
+    upper = [F.when(level > k, F.last(F.when(level == k, found), ignorenulls=True).over(before)) for k in range(1, depth)]
     return F.greatest(*upper)
 
 
-def tree(blocks: DataFrame) -> DataFrame:
-    """headings with parent_id; levels are checked, so that deep documents take the exact form."""
-    rows = headings(blocks)
-    shallow = rows.withColumn("deepest", F.max("level").over(Window.partitionBy("doc_id")))
-    near = shallow.where("deepest <= 6").withColumn("parent_index", parent_at(F.col("level"), F.col("doc_index"), ["doc_index"]))
-    far = shallow.where("deepest > 6").withColumn("parent_index", parent_at(F.col("level"), F.col("doc_index"), ["doc_index"], depth=None))
-    rows = near.unionByName(far).drop("deepest")
-    above = rows.select("doc_id", F.col("doc_index").alias("parent_index"), F.col("section_id").alias("parent_id"))
-    return rows.join(above, ["doc_id", "parent_index"], "left").drop("parent_index")
+def tree(blocks: DataFrame, depth: int = 6) -> DataFrame:
+    """headings with parent_id, in one shuffle; documents with deeper levels take the exact array form."""
+    rows = headings(blocks).withColumn("deepest", F.max("level").over(Window.partitionBy("doc_id")))
+    one = F.struct("doc_index", "section_id")
+    near = rows.where(F.col("deepest") <= depth).withColumn("parent", parent_at(F.col("level"), one, ["doc_index"], depth=depth))
+    far = rows.where(F.col("deepest") > depth).withColumn("parent", parent_at(F.col("level"), one, ["doc_index"], depth=None))
+    return near.unionByName(far).withColumn("parent_id", F.col("parent.section_id")).drop("deepest", "parent")
 
 
 def members(blocks: DataFrame) -> DataFrame:
