@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -11,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 @cache
 def own_dir() -> str:
-    """A folder for sessions without spark.checkpoint.dir, which are local ones."""
-    return "file://" + tempfile.mkdtemp(prefix="lamina-")
+    """A folder for sessions without spark.checkpoint.dir, which are local ones; it goes when the process ends."""
+    path = tempfile.mkdtemp(prefix="lamina-")
+    atexit.register(shutil.rmtree, path, True)
+    return "file://" + path
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -11,8 +11,10 @@ their sample codes, and pairs that may reach the threshold are verified by exact
 Jaccard similarity. Equal texts are one node throughout. First a maximum spanning forest of
 each bucket's estimates is verified; once classes are known, every remaining possible pair
 between different classes of a bucket is verified within its task, which gives at most one
-link per class. Buckets of more than ``chunk`` texts are dealt into chunks that all hold the
-bucket's first text. Classes are the connected components of verified pairs, found by distributed
+link per class. Buckets of more than ``chunk`` texts are dealt into parts that all hold the
+bucket's first text; texts that end up outside its class then meet every part, in blocks. So
+any two texts that share a bucket are compared or of one class already, and no task gets
+more than a few chunks. Classes are the connected components of verified pairs, found by distributed
 label propagation.
 
 Defined edge cases: a null text counts as empty; texts without words are duplicates of equal
@@ -24,12 +26,12 @@ repeated rows belong to one class; an empty table gives no row; other columns ar
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,27 +55,50 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class Hashes(dict):
-    """word -> 64-bit hash, kept for short words up to a bounded number."""
+#: Bytes that separate words, and white space outside ASCII, which is replaced first.
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
+WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Powers of an odd number, by which the bytes of a word count; longer words go through them again.
+POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15 | 1, np.uint64))
 
-    def __missing__(self, word: str) -> int:
-        h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        if len(word) <= 32:
-            if len(self) >= 300_000:
-                self.clear()
-            self[word] = h
-        return h
+
+#: Longer texts are hashed in pieces that end at white space.
+PIECE, GAP = 1_000_000, re.compile(r"\s")
 
 
-HASHES = Hashes()
+def word_hashes(text: str) -> np.ndarray:
+    """The hash of every word of a text in lower case, words as str.split() tells them."""
+    parts, at = [], 0
+    while not parts or at < len(text):
+        gap = GAP.search(text, at + PIECE) if len(text) - at > PIECE else None
+        end = gap.start() if gap else len(text)
+        parts.append(_word_hashes(text[at:end].lower()))
+        at = end
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
+def _word_hashes(text: str) -> np.ndarray:
+    if not text.isascii() and WIDE_SPACE.search(text):
+        text = " ".join(text.split())
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    space = SPACE[raw]
+    first = ~space
+    first[1:] &= space[:-1]
+    starts = np.flatnonzero(first)
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    spans = np.diff(starts, append=len(raw))
+    place = np.arange(len(raw)) - np.concatenate([np.zeros(starts[0], np.int64), np.repeat(starts, spans)])
+    values = POWERS[place & 4095] * (raw.astype(np.uint64) + np.uint64(1))
+    values[space] = 0
+    return mixed(np.add.reduceat(values, starts))
 
 
 def hashes(text: str, n: int = SHINGLE) -> np.ndarray:
     """The hash of every shingle of a text, in order."""
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
+    h = word_hashes(text)
+    if not len(h):
+        return h
     n = min(n, len(h))
     out = np.zeros(len(h) - n + 1, np.uint64)
     for k in range(n):
@@ -236,11 +261,11 @@ def between(codes: np.ndarray, classes: np.ndarray, low: float) -> Iterator[tupl
                 yield i, near
 
 
-BUCKET = ["band", "key", "part"]
+BUCKET = ["band", "key", "part", "block"]
 
 
 def by_bucket(rows: DataFrame, each: Callable[[list[dict]], list[tuple]], schema: str) -> DataFrame:
-    """each over the rows of every chunk of a bucket, whose size is bounded by the dealing; nodes sorted, each once."""
+    """each over the rows of every chunk (part and block of a bucket), whose size is bounded by the dealing; nodes sorted, each once."""
     columns = [c for c in rows.columns if c not in BUCKET]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +309,7 @@ def class_numbers(held: list[dict]) -> np.ndarray:
 
 
 def candidates(entries: DataFrame, signed: DataFrame, low: float) -> DataFrame:
-    """Distinct pairs (a, b) of the buckets' spanning forests, from entries (node, band, key, part)."""
+    """Distinct pairs (a, b) of the buckets' spanning forests, from entries (node, band, key, part, block)."""
 
     def each(held: list[dict]) -> list[tuple]:
         return [tuple(sorted((held[i]["node"], held[k]["node"]))) for i, k in forest(code_rows(held), low)]
@@ -302,7 +327,7 @@ def nominated(entries: DataFrame, signed: DataFrame, low: float) -> DataFrame:
             found.update(near.tolist())
         return [(held[k]["node"], held[k]["class"], held[k]["codes"]) for k in sorted(found)]
 
-    return by_bucket(entries.join(signed.select("node", "codes"), "node"), each, "band int, key long, part int, node binary, class binary, codes binary")
+    return by_bucket(entries.join(signed.select("node", "codes"), "node"), each, "band int, key long, part int, block int, node binary, class binary, codes binary")
 
 
 def vector(text: str | None, levels: np.ndarray, docs: int, strength: float) -> tuple[np.ndarray, np.ndarray, float]:
@@ -395,7 +420,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, idf_strength: float =
     entries = entries.join(buckets, ["band", "key"])
     parts = F.ceil(F.col("n") / chunk).cast("int")
     own = F.when(F.col("node") == F.col("leader"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("node", "band"), parts).cast("int")))
-    entries = common.stored(entries.select("node", "band", "key", F.explode(own).alias("part")), "buckets")
+    entries = entries.select("node", "band", "key", "leader", parts.alias("parts"), F.explode(own).alias("part"), F.lit(0).alias("block"))
+    entries = common.stored(entries, "buckets")
 
     low = threshold - MARGIN
     first = common.stored(candidates(entries, signed, low), "pairs")
@@ -404,18 +430,38 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, idf_strength: float =
     links = common.stored(verified(first, texts, shared, threshold, idf_strength), "links")
     labels = components(links)
 
-    classed = entries.join(labels.withColumnRenamed("root", "class"), "node", "left").withColumn("class", F.coalesce("class", "node"))
-    several = classed.groupBy(BUCKET).agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select(BUCKET)
-    rest = common.stored(nominated(classed.join(several, BUCKET), signed, low), "nominated")
+    rest = common.stored(nominated(undecided(entries, labels, chunk), signed, low), "nominated")
     if rest.limit(1).count():
         more = linked(rest, _texts(rows, signed, rest.select("node").distinct()), shared, low, threshold, idf_strength)
         labels = components(links.union(common.stored(more, "links")))
 
     members = signed_rows.select("doc_id", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = members.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    sizes = common.stored(sizes, "sizes")  # apart from the rows, whose hot classes the join can then split
     return members.join(sizes, "root").select("doc_id", "node", "class_id", "class_size")
 
 
+def undecided(entries: DataFrame, labels: DataFrame, chunk: int) -> DataFrame:
+    """Entries with class of the buckets that still hold several classes, dealt so that any two of different classes meet.
+
+    In a bucket of several parts, texts outside the class of its first text are dealt into
+    blocks and go to every part; a part's own texts meet each block.
+    """
+    classed = entries.join(labels.withColumnRenamed("root", "class"), "node", "left").withColumn("class", F.coalesce("class", "node"))
+    bucket = ["band", "key"]
+    first = F.max(F.when(F.col("node") == F.col("leader"), F.col("class")))
+    several = classed.groupBy(bucket).agg(F.min("class").alias("x"), F.max("class").alias("y"), first.alias("top")).where("x <> y").select(*bucket, "top")
+    mixed_ = classed.join(several, bucket).withColumn("stray", F.col("class") != F.col("top"))
+    mixed_ = common.stored(mixed_, "undecided")
+    few, many = mixed_.where("parts = 1").select("node", "class", *BUCKET), mixed_.where("parts > 1")
+    blocks = many.groupBy(bucket).agg(F.greatest(F.lit(1), F.ceil(F.count_if("stray") / chunk)).cast("int").alias("blocks"))
+    many = many.drop("block").join(blocks, bucket)
+    own = many.select("node", "class", *bucket, "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    strays = many.where("stray").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    strays = strays.select("node", "class", *bucket, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block")
+    return few.unionByName(own).unionByName(strays)
+
+
 def _texts(rows: DataFrame, signed: DataFrame, needed: DataFrame) -> DataFrame:
     """node, text of the needed nodes, each from one of its documents."""
     one = signed.select("node", F.col("doc_id").alias("one")).join(needed, "node")

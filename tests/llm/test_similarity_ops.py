@@ -217,3 +217,30 @@ def test_stages_keep_the_columns(spark, stage):
     out = stage(spark, odd, SF)
     assert out.schema.names == odd.schema.names and out.where("score <> 1 or _node <> 2 or part <> 3").count() == 0
     assert stage(spark, source.where("doc_id < 0"), SF).collect() == []
+
+
+def test_texts_outside_the_first_class_meet_every_part(spark):
+    """In one large bucket, pairs of different classes are compared whatever parts they were dealt to."""
+    nodes = [bytes([k]) for k in range(40)]
+    entries = [(bytearray(n), 0, 7, bytearray(nodes[0]), 8, p, 0) for k, n in enumerate(nodes) for p in (range(8) if k == 0 else [k % 8])]
+    entries = spark.createDataFrame(entries, "node binary, band int, key long, leader binary, parts int, part int, block int")
+    labels = spark.createDataFrame([(bytearray(n), bytearray(nodes[0])) for n in nodes[:25]], "node binary, root binary")
+    met, tasks = set(), defaultdict(set)
+    for r in neardup.undecided(entries, labels, 5).collect():
+        tasks[r["part"], r["block"]].add((bytes(r["node"]), bytes(r["class"])))
+    for held in tasks.values():
+        assert len(held) <= 5 + 1 + 2 * 5 + 2
+        met |= {frozenset((a, b)) for a, c in held for b, d in held if c != d}
+    want = {frozenset((a, b)) for i, a in enumerate(nodes) for b in nodes[max(i + 1, 25) :]}
+    assert want <= met
+
+
+def test_word_hashes_follow_split():
+    texts = ["a\xa0b  c　d\x1ce\x0b f", "", "  x", "x  ", " \n", "É é ß", "a" * 9000 + " b", "ab cd  ef\n" * 150_000 + "x" * 1_200_000 + " tail"]
+    seen = {}
+    for t in texts:
+        words, got = t.lower().split(), neardup.word_hashes(t).tolist()
+        assert len(words) == len(got)
+        for w, h in zip(words, got, strict=True):
+            assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen)
