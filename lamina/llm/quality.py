@@ -32,7 +32,8 @@ FOLDS = 5
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0
+    """Whether a row is in the held-out fold; a null id is not."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
 def features(text: str) -> list[float]:

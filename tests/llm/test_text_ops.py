@@ -223,3 +223,24 @@ def test_quality_ignores_held_out_labels_and_edges(spark):
     one = quality.train(df, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
     assert {r["score"] for r in quality.score(df, one).collect()} == {0.5}
     assert quality.score(docs(spark, []), a).collect() == []
+
+
+# --- null ids and empty tables ------------------------------------------------------------------
+
+
+def every_operator():
+    bytes_, ranks, words = (tokens.vocabulary(n) for n in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "word_bpe_49k.json"))
+    return [
+        lambda d: secrets.scan(d, ranks), media.store_and_read, lambda d: bpe.encode_and_decode(d, bytes_), lambda d: packing.pack(d, words),
+        lambda d: secrets.redact(d, ranks), lambda d: d.select("doc_id", quality.held_out(d["doc_id"]).alias("held_out")),
+    ]
+
+
+@pytest.mark.parametrize("number", range(6))
+def test_null_ids_and_empty_tables(spark, number):
+    operator = every_operator()[number]
+    assert operator(docs(spark, [])).collect() == []
+    got = operator(docs(spark, ["some text", None, "some text"], [None, None, 4])).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == ["4", "None", "None"]
+    if number == 5:
+        assert [r["held_out"] for r in got][:2] == [False, False]
