@@ -125,7 +125,8 @@ def train(docs: DataFrame, labels: DataFrame, max_labels: int = 12_000) -> Ranke
 
 
 def score(docs: DataFrame, model: Ranker, name: str = "score") -> DataFrame:
-    """docs with the score in a column `name`, all others kept."""
+    """docs with the score in a column `name`, which takes the place of one of that name; all others are kept."""
+    docs = docs.drop(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
