@@ -408,7 +408,7 @@ def node_of(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD, idf_strength: float = 0.1, chunk: int = 500) -> DataFrame:
+def classes(docs: DataFrame, threshold: float = THRESHOLD, idf_strength: float = 0.1, chunk: int = 250) -> DataFrame:
     """doc_id, node, class_id, class_size for every row of docs (doc_id, text)."""
     rows = docs.select("doc_id", "text", node_of(F.col("text")).alias("node"))
     shared = docs.sparkSession.sparkContext.broadcast(frequency_levels(rows))  # WIDTH bytes
