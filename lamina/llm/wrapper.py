@@ -296,7 +296,7 @@ def pages_with_hosts(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame, min_pages: int = 20) -> DataFrame:
     """page_id, url, text, n_chars for every row of pages (page_id, url, html)."""
     rows = pages_with_hosts(pages)
-    templates = induce(slots(rows), min_pages)
+    templates = common.stored(induce(slots(rows), min_pages), "constants")  # apart from the pages, whose hot hosts the join can then split
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, set] = {}
