@@ -67,6 +67,7 @@ def judge(
     leaves = rows.groupBy("host", "shape").agg(
         F.count(F.lit(1)).alias("n"), F.sum(labelled).alias("labelled"), F.sum((F.col("by_rule") == "block").cast("long")).alias("b")
     ).select("host", "shape", "n", "labelled", F.coalesce("b", F.lit(0)).alias("blocked"))
+    leaves = common.stored(leaves, "leaves")  # the tree is read from here, not from the rows again
 
     parts = F.split("shape", "/", -1)
     nodes = leaves.select("host", "shape", "n", "labelled", "blocked", parts.alias("parts"), F.posexplode(parts).alias("depth", "part"))
