@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import common, tokens
 
-BUCKETS, BLOCK_CHARS = 1024, 12_000_000
+BLOCK_CHARS = 12_000_000
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -71,8 +71,13 @@ class Numbers(dict):
         return n
 
 
-def bucket(word: bytes) -> int:
-    return zlib.crc32(word) % BUCKETS
+def bucket_count(spark: SparkSession) -> int:
+    """Buckets of distinct words: more on larger clusters, so that a bucket's words fit into a worker; not so many that rows hold single words."""
+    return min(8192, max(1024, 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def bucket(word: bytes, buckets: int) -> int:
+    return zlib.crc32(word) % buckets
 
 
 def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[int], list[str]]]:
@@ -94,7 +99,7 @@ def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[int
         yield key(), ids, texts
 
 
-def distinct_words(docs: DataFrame, path: str) -> DataFrame:
+def distinct_words(docs: DataFrame, path: str, buckets: int) -> DataFrame:
     """block, bucket, words: each block's distinct words by hash, in order of first appearance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,10 +108,10 @@ def distinct_words(docs: DataFrame, path: str) -> DataFrame:
             seen: dict[str, None] = {}
             for t in texts:
                 seen.update(dict.fromkeys(tokens.byte_words(t, own)))
-            by: list[list[bytes]] = [[] for _ in range(BUCKETS)]
+            by: list[list[bytes]] = [[] for _ in range(buckets)]
             for w in seen:
                 raw = w.encode("utf-8", "surrogatepass")
-                by[bucket(raw)].append(raw)
+                by[bucket(raw, buckets)].append(raw)
             rows = [(b, pack(np.array([len(w) for w in ws]), b"".join(ws))) for b, ws in enumerate(by) if ws]
             arrays = [pa.array([key] * len(rows)), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["block", "bucket", "words"])
@@ -114,7 +119,7 @@ def distinct_words(docs: DataFrame, path: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "block string, bucket int, words binary")
 
 
-def numbered_texts(docs: DataFrame, path: str) -> DataFrame:
+def numbered_texts(docs: DataFrame, path: str, buckets: int) -> DataFrame:
     """block, texts: each block's doc ids, words per text and word numbers, and the bucket of each number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +129,7 @@ def numbered_texts(docs: DataFrame, path: str) -> DataFrame:
             for t in texts:
                 words = tokens.byte_words(t, own)
                 parts.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
-            places = np.array([bucket(w.encode("utf-8", "surrogatepass")) for w in numbers], np.uint32)
+            places = np.array([bucket(w.encode("utf-8", "surrogatepass"), buckets) for w in numbers], np.uint32)
             whole = np.concatenate(parts) if parts else np.empty(0, np.uint32)
             named = np.array([0 if i is None else i for i in ids], "<i8").tobytes(), np.array([i is None for i in ids])
             data = pack(*named, np.array([len(p) for p in parts]), whole, places)
@@ -168,8 +173,9 @@ def pieces(path: str) -> list[bytes]:
 
 def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
     """RESULT rows of docs (doc_id, text)."""
-    answers = encoded_words(distinct_words(docs, path), path).groupBy("block").agg(F.collect_list(F.struct("bucket", "ids")).alias("answers"))
-    joined = numbered_texts(docs, path).join(answers, "block", "left").select("texts", "answers")
+    buckets = bucket_count(docs.sparkSession)
+    answers = encoded_words(distinct_words(docs, path, buckets), path).groupBy("block").agg(F.collect_list(F.struct("bucket", "ids")).alias("answers"))
+    joined = numbered_texts(docs, path, buckets).join(answers, "block", "left").select("texts", "answers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = pieces(path)
@@ -181,7 +187,7 @@ def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
                 count = np.zeros(len(places), np.int64)
                 words: list[tuple[bytes, bytes]] = [(b"", b"")] * len(places)
                 order = np.argsort(places, kind="stable")
-                first = np.searchsorted(places[order], np.arange(BUCKETS + 1))
+                first = np.searchsorted(places[order], np.arange(buckets + 1))
                 answered = 0
                 for a in batch.column("answers")[k].as_py() or ():
                     many, ids = map(ints, unpack(a["ids"]))
