@@ -25,7 +25,16 @@ def local_session(cpus: int | str = "*", app: str = "lamina") -> SparkSession:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the star-schema or corpus tables below sf_dir."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of fewer splits than there are cores (a single small file) dealt over all cores; larger ones as they are.
+
+    Text work is narrow and would otherwise run in the one task that holds the file's only row group.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def ship(spark: SparkSession) -> SparkSession:
