@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text
 from . import sections
 
 VERSION, UNKNOWN_VERSION = "1.0.0", "0.0.0"
@@ -13,20 +14,43 @@ SECTION = "struct<id:string,number:string,title:string,level:int,doc_index:int,s
 DOCUMENT = f"version string, metadata struct<page_count:int,extra:map<string,string>>, blocks array<{BLOCK}>, sections array<{SECTION}>"
 
 
+def with_sections(documents: DataFrame) -> DataFrame:
+    """documents (held: blocks in order, structs of b and number) with sections: the same rows as sections.with_blocks.
+
+    A section's blocks are the run from its heading to the next one, so each is a slice. The
+    headings and ids are columns of their own, which keeps them from being computed per section.
+    """
+    at = F.transform("held", lambda x, i: F.struct(i.alias("i"), x["b"].alias("b"), x["number"].alias("number")))
+    found = F.filter(at, lambda x: sections.is_heading(x["b"]["type"], x["number"]))
+    head = lambda x: F.struct(x["i"].alias("i"), text.depth(x["number"]).alias("level"), x["b"]["id"].alias("id"), x["b"]["doc_index"].alias("doc_index"), x["b"]["text"].alias("text"), x["number"].alias("number"))
+    rows = documents.withColumn("heads", F.transform(found, head)).withColumn("ids", F.col("held.b.id"))
+    heads, name = F.col("heads"), lambda h: F.concat(F.lit("sec_"), h["id"])
+
+    def section(h: Column, k: Column) -> Column:
+        above = F.filter(F.slice(heads, F.lit(1), k), lambda x: x["level"] < h["level"])
+        end = F.coalesce(F.get(heads, k + 1)["i"], F.size("ids"))
+        return F.struct(
+            name(h).alias("id"), h["number"].alias("number"), F.coalesce(h["text"], F.lit("")).alias("title"), h["level"].alias("level"), h["doc_index"].alias("doc_index"),
+            F.array(h["doc_index"], h["doc_index"] + 1).alias("span"), name(F.try_element_at(above, F.lit(-1))).alias("parent_id"),
+            F.slice("ids", h["i"] + 1, end - h["i"]).alias("block_ids"), h["id"].alias("heading_block_id"),
+        )
+
+    return rows.withColumn("sections", F.transform(heads, section)).drop("heads", "ids")
+
+
 def assemble(blocks: DataFrame, page_counts: DataFrame) -> DataFrame:
-    """doc_id, version, metadata, blocks, sections: one row per document, sections flat in document order."""
-    in_order = lambda a, b: a["doc_index"] - b["doc_index"]  # noqa: E731  (payloads hold maps, which have no order of their own)
+    """doc_id, version, metadata, blocks, sections: one row per document, sections flat in document order.
+
+    Blocks are gathered once per document; the sections come from the gathered array.
+    """
+    in_order = lambda a, b: a["b"]["doc_index"] - b["b"]["doc_index"]  # noqa: E731  (payloads hold maps, which have no order of their own)
     own = [c for c in blocks.columns if c not in ("doc_id", "title_full", "numbering")]
-    held = blocks.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("doc_index", F.struct(*own).alias("b"))), in_order).alias("blocks"))
-    rows = sections.with_blocks(blocks)
-    one = F.struct(
-        F.col("section_id").alias("id"), "number", "title", "level", "doc_index", F.array(F.col("doc_index"), F.col("doc_index") + 1).alias("span"), "parent_id", "block_ids", "heading_block_id"
-    )
-    tree = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("doc_index", one.alias("s")))).alias("sections"))
+    one = F.struct(F.struct(*own).alias("b"), F.col("numbering").alias("number"))
+    held = blocks.groupBy("doc_id").agg(F.array_sort(F.collect_list(one), in_order).alias("held"))
     none = F.array().cast(f"array<{SECTION}>")
-    return page_counts.join(held, "doc_id", "left").join(tree, "doc_id", "left").select(
+    return with_sections(page_counts.join(held, "doc_id", "left")).select(
         "doc_id", F.lit(VERSION).alias("version"), F.struct(F.col("page_count"), F.create_map().cast("map<string,string>").alias("extra")).alias("metadata"),
-        F.coalesce(F.col("blocks.b"), F.array()).alias("blocks"), F.coalesce(F.col("sections.s"), none).alias("sections"),
+        F.coalesce(F.col("held.b"), F.array()).alias("blocks"), F.coalesce("sections", none).alias("sections"),
     )
 
 

@@ -68,6 +68,18 @@ def test_parents(spark, deepest):
     assert {r["id"]: r["section_id"] for r in sections.members(df).collect()} == member
 
 
+@pytest.mark.parametrize("deepest", [3, 9])
+def test_document_sections_equal_the_table(spark, deepest):
+    """The sections gathered with a document are those of the flat tree with its blocks."""
+    rows = [(d, i, t, k, x, n) for d, i, t, k, x, n in outline_rows(random.Random(deepest), 90, deepest)]
+    rows = [(d, i, t, sum(1 for r in rows[:k] if r[0] == d), x, n) for k, (d, i, t, _, x, n) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id int, id string, type string, doc_index int, text string, numbering string")
+    made = docjson.assemble(df, spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "doc_id int, page_count int")).collect()
+    got = {(r["doc_id"], s["id"]): (s["parent_id"], s["level"], s["doc_index"], s["block_ids"], s["title"], s["number"]) for r in made for s in r["sections"]}
+    want = {(r["doc_id"], r["section_id"]): (r["parent_id"], r["level"], r["doc_index"], r["block_ids"], r["title"], r["number"]) for r in sections.with_blocks(df).collect()}
+    assert got == want and [r["blocks"] for r in made if r["doc_id"] == 3] == [[]]
+
+
 def test_payloads(spark):
     data = {
         "table": {"items": ["x"], "markdown": "|a|b|\n|-|-|\n|1|2|", "complexity": "complex"},
