@@ -41,8 +41,8 @@ from . import common
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 5
 SAMPLES = BANDS * ROWS
-#: Sizes of the table of hashed document frequencies, its parts, and of the table of random variates.
-WIDTH, PARTS, VARIATES = 1 << 22, 64, 1 << 10
+#: Sizes of the table of hashed document frequencies, and of its parts.
+WIDTH, PARTS = 1 << 22, 64
 #: Pairs whose share of equal samples is lower can hardly reach the threshold: three standard deviations.
 MARGIN = 3 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / SAMPLES)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15))
@@ -161,46 +161,76 @@ def weights(h: np.ndarray, tf: np.ndarray, levels: np.ndarray, docs: int, streng
 
 
 @lru_cache(maxsize=1)
-def variates(seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r and c of Gamma(2, 1) and beta of U(0, 1) for each sample and table row."""
-    rng = np.random.default_rng(seed)
-    shape = (SAMPLES, VARIATES)
-    return rng.gamma(2, 1, shape).astype(np.float32), np.log(rng.gamma(2, 1, shape)).astype(np.float32), rng.random(shape, np.float32)
+def curves() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """ln q on a fine grid, there ln F(q) of F(q) = P(E U < q), and ln E1(q), for E of Exp(1) and U of U(0, 1)."""
+    ln_q = np.arange(-45, 4.6, 0.002)
+    density = np.exp(-np.exp(ln_q))
+    e1 = np.cumsum(((density[1:] + density[:-1]) * 0.001)[::-1])[::-1]
+    ln_q, e1 = ln_q[:-1], np.maximum(e1, 1e-300)
+    q = np.exp(ln_q)
+    return ln_q, np.log(np.minimum(q * e1 - np.expm1(-q), 1)), np.log(e1)
 
 
-@lru_cache(maxsize=24)
-def drawn(log_w: float) -> np.ndarray:
-    """ln a of every sample and table row for one weight."""
-    r, ln_c, beta = variates()
-    return ln_c - r * (np.floor(np.float32(log_w) / r + beta) - beta) - r
+SALT = mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * MIX[2])
+#: By which the lower half of a shingle's hash is dealt to 32 uniform bits for each sample.
+FLIP, ODD = (SALT >> np.uint64(32)).astype(np.uint32)[:, None], (mixed(SALT) >> np.uint64(32)).astype(np.uint32)[:, None] | np.uint32(1)
 
 
-SALT = mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * MIX[2])
-EACH = np.arange(SAMPLES)
+def uniform(h: np.ndarray) -> np.ndarray:
+    """Hashes as numbers within (0, 1)."""
+    return ((h >> np.uint64(12)).astype(float) + 0.5) * 2.0**-52
+
+
+def ln_a(h: np.ndarray, w: np.ndarray, salt: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """ln a and t of shingles in the samples of a salt, whose draws r, c of Gamma(2, 1) and beta of U(0, 1) are hashed.
+
+    With E, E' of Exp(1) and U of U(0, 1), c = E + E' and r = ln((E + E') / (E U)) are independent and of Gamma(2, 1).
+    q = E U = c / exp(r) is drawn first, by bits; then E given q.
+    """
+    ln_q, ln_f, ln_e1 = curves()
+    one = mixed(h ^ salt)
+    two = mixed(one + MIX[2])
+    three = mixed(two + MIX[2])
+    lq = np.interp(np.log((bits + uniform(one)) * 2.0**-32), ln_f, ln_q)
+    e = np.exp(np.interp(-(np.log(uniform(two)) + np.interp(lq, ln_q, ln_e1)), -ln_e1, ln_q))
+    r = np.log(np.maximum(e, np.exp(lq)) - np.log(uniform(three))) - lq
+    beta = uniform(mixed(three + MIX[2]))
+    t = np.floor(np.log(w) / r + beta)
+    return lq - r * (t - beta), t
 
 
 def samples(h: np.ndarray, w: np.ndarray) -> np.ndarray:
     """SAMPLES 64-bit values; two texts agree in one with the probability of their weighted Jaccard similarity.
 
-    A sample's table row stays in cache while the shingles of one weight look themselves up in it.
+    a is at least q / w, so only shingles of a small q can have the least a. These are told by
+    comparing bits; a sample whose least a is not below the limit is drawn again under a higher one.
     """
-    row = (h & np.uint64(VARIATES - 1)).astype(np.int64)
-    best, out = np.full(SAMPLES, np.inf, np.float32), np.zeros(SAMPLES, np.uint64)
-    r, _, beta = variates()
-    values, which = np.unique(w, return_inverse=True)
-    for k, value in enumerate(values.tolist()):
-        own = np.flatnonzero(which == k)
-        log_w = math.log(value)
-        table = drawn(log_w)
-        for begin in range(0, len(own), 4096):
-            part = own[begin : begin + 4096]
-            ln_a = np.take(table, row[part], axis=1)
-            first = ln_a.argmin(axis=1)
-            low, at = ln_a[EACH, first], part[first]
-            better = low < best
-            best = np.where(better, low, best)
-            t = np.floor(np.float32(log_w) / r[EACH, row[at]] + beta[EACH, row[at]])
-            out = np.where(better, mixed(h[at] + t.astype(np.int64).astype(np.uint64) * MIX[2]), out)
+    ln_q, ln_f, _ = curves()
+    low, w = h.astype(np.uint32), w.astype(float)
+    out, left, limit = np.zeros(SAMPLES, np.uint64), np.arange(SAMPLES), 4 / w.sum()
+    while len(left):
+        most = np.minimum(np.exp(np.interp(np.log(w * limit), ln_q, ln_f)) * 2.0**32 * (1 + 1e-6) + 2, 2.0**32 - 1).astype(np.uint32)
+        best, value = np.full(len(left), np.inf), np.zeros(len(left), np.uint64)
+        size = (1 << 18) // len(left)
+        for begin in range(0, len(h), size):
+            bits = (low[begin : begin + size] ^ FLIP[left]) * ODD[left]
+            which, at = np.divmod(np.flatnonzero(bits <= most[begin : begin + size]), bits.shape[1])
+            if not len(at):
+                continue
+            own = h[begin + at]
+            a, t = ln_a(own, w[begin + at], SALT[left[which]], bits[which, at])
+            first = np.flatnonzero(np.diff(which, prepend=-1))
+            least = np.minimum.reduceat(a, first)
+            each = which[first]
+            hit = np.flatnonzero(a == np.repeat(least, np.diff(first, append=len(a))))
+            hit = hit[np.flatnonzero(np.diff(which[hit], prepend=-1))]
+            better = least < best[each]
+            each, hit = each[better], hit[better]
+            best[each] = a[hit]
+            value[each] = own[hit] + t[hit].astype(np.int64).astype(np.uint64) * MIX[2]
+        done = best < math.log(limit)
+        out[left[done]] = mixed(value[done])
+        left, limit = left[~done], limit * 4
     return mixed(out ^ SALT)
 
 

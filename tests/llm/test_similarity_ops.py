@@ -172,6 +172,35 @@ def test_estimates_follow_weighted_jaccard():
         assert abs((x == y).mean() - want) < 4 * math.sqrt(want * (1 - want) / neardup.SAMPLES)
 
 
+@pytest.mark.parametrize("n", [300, 5_000, 20_000])
+@pytest.mark.parametrize("differing", [1.0, 2.1, 4.0])
+def test_estimates_of_long_texts(n, differing):
+    """Also where the texts differ in their lightest (most frequent) or heaviest shingles only."""
+    rng = np.random.default_rng(n)
+    got, want = [], []
+    for _ in range(4):
+        k = n // 20
+        h = rng.integers(0, 2**64, n + 2 * k, dtype=np.uint64)
+        w = np.concatenate([rng.choice([1.05, 1.08, 1.1, 2.2], n, p=[0.3, 0.3, 0.3, 0.1]), np.full(2 * k, differing)]).astype(np.float32)
+        x, y = (neardup.samples(h[i], w[i]) for i in (np.r_[:n, n : n + k], np.r_[:n, n + k : n + 2 * k]))
+        got.append((x == y).mean())
+        want.append(w[:n].sum() / w.sum())
+    assert abs(np.mean(got) - np.mean(want)) < 4 * math.sqrt(want[0] * (1 - want[0]) / neardup.SAMPLES / len(got))
+
+
+def test_samples_skip_no_shingle():
+    """The least a of each sample over all shingles, without any limit."""
+    rng = np.random.default_rng(4)
+    for n in (1, 3, 700):
+        h, w = rng.integers(0, 2**64, n, dtype=np.uint64), rng.choice([1.0, 1.1, 2.2, 5.5], n).astype(np.float32)
+        got = neardup.samples(h, w)
+        for s in range(neardup.SAMPLES):
+            bits = (h.astype(np.uint32) ^ neardup.FLIP[s]) * neardup.ODD[s]
+            a, t = neardup.ln_a(h, w.astype(float), np.full(n, neardup.SALT[s]), bits)
+            k = a.argmin()
+            assert got[s] == neardup.mixed(neardup.mixed(h[k : k + 1] + t[k : k + 1].astype(np.int64).astype(np.uint64) * neardup.MIX[2]) ^ neardup.SALT[s : s + 1])[0]
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(k, k + 1) for k in range(60)] + [(100, 100 + k) for k in range(1, 30)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
