@@ -440,6 +440,11 @@ def node_of(text: Column) -> Column:
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, idf_strength: float = 0.1, chunk: int = 250) -> DataFrame:
     """doc_id, node, class_id, class_size for every row of docs (doc_id, text)."""
+    return rooted(docs, threshold, idf_strength, chunk).drop("root")
+
+
+def rooted(docs: DataFrame, threshold: float = THRESHOLD, idf_strength: float = 0.1, chunk: int = 250) -> DataFrame:
+    """classes() with root, the node that tells a class from others also where ids are null or repeated."""
     rows = docs.select("doc_id", "text", node_of(F.col("text")).alias("node"))
     shared = docs.sparkSession.sparkContext.broadcast(frequency_levels(rows))  # WIDTH bytes
     signed_rows = common.stored(signatures(rows, shared, idf_strength), "signed")
@@ -468,7 +473,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, idf_strength: float =
     members = signed_rows.select("doc_id", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = members.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     sizes = common.stored(sizes, "sizes")  # apart from the rows, whose hot classes the join can then split
-    return members.join(sizes, "root").select("doc_id", "node", "class_id", "class_size")
+    return members.join(sizes, "root").select("doc_id", "node", "root", "class_id", "class_size")
 
 
 def undecided(entries: DataFrame, labels: DataFrame, chunk: int) -> DataFrame:
@@ -501,18 +506,19 @@ def _texts(rows: DataFrame, signed: DataFrame, needed: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """docs with one row of each class: that with the smallest id."""
-    found = classes(docs.select("doc_id", "text"), **options).groupBy("doc_id", "node", "class_id").agg(F.count(F.lit(1)).alias("rows"))
+    found = rooted(docs.select("doc_id", "text"), **options).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    found = found.groupBy("doc_id", "node", "root").agg(F.count(F.lit(1)).alias("rows"))
     one, node, root, n = (common.fresh(docs, f"_{c}") for c in ("kept_id", "node", "class", "rows"))
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(one), F.col("node").alias(node + "k"), F.col("class_id").alias(root), F.col("rows").alias(n))
+    kept = found.select(F.col("doc_id").alias(one), F.col("node").alias(node + "k"), F.col("root").alias(root), F.col("rows").alias(n))
     kept = common.stored(kept, "kept")
     stays = docs.withColumn(node, node_of(F.col("text"))).join(kept, (F.col(node) == F.col(node + "k")) & F.col("doc_id").eqNullSafe(F.col(one)))
     repeated = kept.groupBy(root).agg(F.sum(n).alias("n")).where("n > 1").select(root)
     if repeated.limit(1).count() == 0:
         return stays.select(docs.columns)
     again = common.fresh(docs, "_again")
-    same = stays.join(repeated.withColumnRenamed(root, again), F.col(root).eqNullSafe(F.col(again)), "left")
-    several = same.where(F.col(again).isNotNull() | F.col(root).isNull()).dropDuplicates([root])
-    single = same.where(F.col(again).isNull() & F.col(root).isNotNull())
+    same = stays.join(repeated.withColumnRenamed(root, again), F.col(root) == F.col(again), "left")
+    several = same.where(F.col(again).isNotNull()).dropDuplicates([root])
+    single = same.where(F.col(again).isNull())
     return single.select(docs.columns).union(several.select(docs.columns))
 
 

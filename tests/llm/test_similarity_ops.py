@@ -161,6 +161,14 @@ def test_deduplicate_keeps_one_row(spark):
     assert neardup.deduplicate(docs(spark, [])).collect() == [] and neardup.classes(docs(spark, [])).collect() == []
 
 
+def test_deduplicate_tells_classes_by_root(spark):
+    """Unrelated texts without id, or under one id, are classes of their own; copies among them still go."""
+    texts, ids = ["null one", "null two", "null three", "null two", "id one", "id two", "id two", "id one", "last"], [None, None, None, None, 4, 4, 4, 6, 8]
+    kept = neardup.deduplicate(docs(spark, texts, ids)).collect()
+    want = [(None, "null one"), (None, "null three"), (None, "null two"), (4, "id one"), (4, "id two"), (8, "last")]
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(want, key=str)
+
+
 def test_estimates_follow_weighted_jaccard():
     rng = np.random.default_rng(0)
     h = np.sort(rng.integers(0, 2**63, 900, dtype=np.uint64))
