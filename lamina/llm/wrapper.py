@@ -6,8 +6,8 @@ matching, so that nodes of different layouts share a template node. A template n
 text is the same on every page of the host is constant: template. Others are slots: content
 where they lie in the page's content region.
 
-The content region is the page's article or main element, or, without one, the node whose
-slots hold most text. Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+The content region is the page's article or main element, or, without one, the whole page.
+Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles and comments are told by tag, role, class or id and never count as content.
 
 Only digests of slots are grouped, pre-aggregated, and distinct layouts are aligned in groups
@@ -276,15 +276,7 @@ def main_text(text: str, constant: set[str]) -> str:
     _, blocks = parse(text)
     slot = [b for b in blocks if not b[0].skipped and not any(n.skipped for n in b[2]) and b[0].path not in constant]
     inside = [b for b in slot if any(n.main for n in b[2])]
-    if not inside and slot:
-        mass: dict[str, int] = {}
-        for _, block, around in slot:
-            for n in around:
-                if n.tag not in INLINE and n.tag not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "tr", "dd", "dt"):
-                    mass[n.path] = mass.get(n.path, 0) + len(block)
-        region = max((p for p in mass if mass[p] >= 0.8 * max(mass.values())), key=len, default="")
-        inside = [b for b in slot if any(n.path == region for n in b[2])] if region else slot
-    return "\n\n".join(b for _, b, _ in inside)
+    return "\n\n".join(b for _, b, _ in inside or slot)
 
 
 def pages_with_hosts(pages: DataFrame) -> DataFrame:

@@ -65,6 +65,12 @@ def test_markup(html, want):
     assert wrapper.main_text(html, set()) == want
 
 
+def test_pages_without_article_keep_every_slot():
+    long, nav = "most of the text " * 50, "<nav>menu</nav>"
+    html = f"<body>{nav}<h1>Title</h1><p class=lead>Lead</p><div class=story><p>{long}</p></div><div class=more><p>The end</p></div></body>"
+    assert wrapper.main_text(html, set()) == "\n\n".join(["Title", "Lead", long.strip(), "The end"])
+
+
 def test_copies_are_no_template(spark):
     html = "<article><p>Same on all copies</p></article>"
     got = wrapper.extract(pages(spark, [(k, f"http://h.example/{k}", html) for k in range(40)])).collect()
