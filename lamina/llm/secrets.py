@@ -1,9 +1,10 @@
 """Secret scan: patterns of known forms, and a token-efficiency test for random strings.
 
-A run of 16 or more key characters that holds letters and digits is a finding of kind
+A run of 16 or more key characters that holds a letter is a finding of kind
 ``token`` when a public byte-pair vocabulary needs many tokens for it (at most
 ``max_ratio`` characters per token), unless it is a known digest or identifier (hex of a
-digest's length, UUID, words or numbers joined by separators) or overlaps a pattern's span.
+digest's length, UUID, words or numbers joined by separators, each word one token or of more
+than ``max_ratio`` characters per token) or overlaps a pattern's span.
 
 Spans are code point offsets, end exclusive, of the whole match. Defined edge cases: a null
 or empty text has no span; texts are scanned whole, however long; equal texts have equal
@@ -34,7 +35,7 @@ DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 DIGEST = re.compile(r"(?:0x)?([0-9a-f]+|[0-9A-F]+)")
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 NAMED = re.compile(r"(?:[A-Za-z]+|[0-9]+|[A-Za-z]+[0-9]{1,4}|[vV][0-9]+)(?:[+/_=-]+(?:[A-Za-z]+|[0-9]+|[A-Za-z]+[0-9]{1,4}|[vV][0-9]+))*[+/_=-]*")
-MIXED = re.compile(r"(?=.*[A-Za-z])(?=.*[0-9])")
+LETTERS = re.compile(r"[A-Za-z]+")
 
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_token long"
 
@@ -50,10 +51,15 @@ def vocabulary(path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def known(run: str) -> bool:
+def known(run: str, path: str, max_ratio: float) -> bool:
     """Whether a run is a digest or an identifier and so no finding."""
     m = DIGEST.fullmatch(run)
-    return bool(m and len(m[1]) in DIGEST_LENGTHS or UUID.fullmatch(run) or NAMED.fullmatch(run))
+    if m and len(m[1]) in DIGEST_LENGTHS or UUID.fullmatch(run):
+        return True
+    if not NAMED.fullmatch(run):
+        return False
+    sizes = ((len(w), len(vocabulary(path).encode_ordinary(w))) for w in LETTERS.findall(run))
+    return all(n == 1 or size > max_ratio * n for size, n in sizes)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -69,9 +75,9 @@ def random_spans(text: str, base: list[tuple[int, int, int]], path: str, max_rat
     out = []
     for m in RUN.finditer(text):
         run = m[0]
-        if not MIXED.match(run) or known(run) or any(a < m.end() and m.start() < b for a, _, b in base):
+        if not LETTERS.search(run) or any(a < m.end() and m.start() < b for a, _, b in base):
             continue
-        if len(run) <= max_ratio * len(vocabulary(path).encode_ordinary(run)):
+        if len(run) <= max_ratio * len(vocabulary(path).encode_ordinary(run)) and not known(run, path, max_ratio):
             out.append((m.start(), 3, m.end()))
     return out
 

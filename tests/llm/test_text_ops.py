@@ -74,6 +74,22 @@ def test_token_efficiency():
     assert not any(k == 3 for t in misses for _, k, _ in secrets.find(t, path)[1])
 
 
+def test_random_letters_are_found():
+    """Random keys without digits, or with a few at the end, beside names of the same form."""
+    import random
+    import string
+
+    path, rng = tokens.vocabulary("byte_bpe_50k.tiktoken"), random.Random(3)
+    found = lambda t: any(k == 3 for _, k, _ in secrets.find(t, path)[1])
+    for alphabet in (string.ascii_letters, string.ascii_lowercase):
+        for size in (16, 24, 40):
+            keys = ["".join(rng.choices(alphabet, k=size)) for _ in range(200)]
+            assert sum(map(found, keys)) >= 190
+            assert sum(found(k[:-1] + "7") for k in keys) >= 190
+    names = ["getElementsByClassName", "some_long_identifier_name", "path/to/the/file-name", "internationalisation2", "max-of-a-b-c-d-e-f", "=" * 40, "2024-01-15-10-30-00"]
+    assert not any(map(found, names))
+
+
 def test_redaction(spark):
     path = tokens.vocabulary("byte_bpe_50k.tiktoken")
     df = docs(spark, ["x password=abcdefghijklmnop y", None, "clean"]).withColumnsRenamed({"part": "n_chars"})
