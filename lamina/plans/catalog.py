@@ -408,6 +408,18 @@ def ngram_ban(spark, sf_dir):
     return rows.select("doc_id", F.array_join(F.transform(geometry.banned(F.col("ids"), 3, 50, [5]), lambda x: x.cast("string")), ",").alias("banned"))
 
 
+@query("""WITH ids AS (SELECT doc_id, list_transform(string_split(text, ' '), lambda x: length(x)::INT) AS ids FROM documents),
+s AS (SELECT doc_id, ids, len(ids) AS n FROM ids),
+g AS (SELECT doc_id, ids, n, unnest(range(greatest(0, n - 50), greatest(n - 2, 0))) AS i FROM s WHERE n >= 3),
+hits AS (SELECT DISTINCT doc_id, ids[i + 3] AS b FROM g WHERE ids[i + 1] = ids[n - 1] AND ids[i + 2] = ids[n] AND ids[i + 3] <> 5)
+SELECT s.doc_id, coalesce(string_agg(b::VARCHAR, ',' ORDER BY b), '') AS banned FROM s LEFT JOIN hits ON s.doc_id = hits.doc_id GROUP BY s.doc_id""")
+def ngram_ban_whole(spark, sf_dir):
+    """Tokens that would repeat a trigram, over word lengths of each whole document."""
+    ids = F.transform(F.split("text", " ", -1), lambda x: F.length(x))
+    rows = table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids"))
+    return rows.select("doc_id", F.array_join(F.transform(geometry.banned(F.col("ids"), 3, 50, [5]), lambda x: x.cast("string")), ",").alias("banned"))
+
+
 # --- documents, sources, streams ----------------------------------------------------------------
 
 

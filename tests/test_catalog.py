@@ -43,3 +43,14 @@ def test_stands_without_the_llm_folder(tmp_path):
     code = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.catalog.QUERIES), len(e.oracle_sql()))"
     said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert said.stdout.split() == ["True", str(len(catalog.ORACLE))], said.stderr
+
+
+def test_whole_documents_are_read_for_bans(spark):
+    """The trigram at the real end, by brute force."""
+    want = {}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect():
+        ids = [len(w) for w in r["text"].split(" ")]
+        n = len(ids)
+        hits = {ids[i + 2] for i in range(max(0, n - 50), n - 2) if ids[i : i + 2] == ids[n - 2 :]} - {5} if n >= 3 else set()
+        want[r["doc_id"]] = ",".join(map(str, sorted(hits)))
+    assert {r["doc_id"]: r["banned"] for r in catalog.QUERIES["ngram_ban_whole"](spark, SF).collect()} == want
