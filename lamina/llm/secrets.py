@@ -1,12 +1,14 @@
 """Secret scan: patterns of known forms, and a token-efficiency test for random strings.
 
-A run of 16 or more key characters that holds a letter is a finding of kind
+A run of ``MIN_RUN`` or more key characters that holds a letter is a finding of kind
 ``token`` when a public byte-pair vocabulary needs many tokens for it (at most
 ``max_ratio`` characters per token), unless it is a known digest or identifier (hex of a
 digest's length, UUID, words or numbers joined by separators, each word one token or of more
-than ``max_ratio`` characters per token) or overlaps a pattern's span.
+than ``max_ratio`` characters per token) or overlaps a pattern's span. Case is no sign of
+randomness, so runs and words count in the cheapest of three forms: as written, in lower case, and
+by the words that capitals begin. Very long runs are counted in pieces of ``PIECE`` characters.
 
-Spans are code point offsets, end exclusive, of the whole match. Defined edge cases: a null
+All scans take time linear in the text. Spans are code point offsets, end exclusive, of the whole match. Defined edge cases: a null
 or empty text has no span; texts are scanned whole, however long; equal texts have equal
 spans; spans of several kinds may overlap and are ordered by start, then kind; an empty
 table gives no row; other columns are ignored.
@@ -30,12 +32,15 @@ KINDS = ("assign", "access", "hex", "token")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: The shortest run that the efficiency test looks at, and the longest that the vocabulary gets at once.
+MIN_RUN, PIECE = 16, 1024
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 DIGEST = re.compile(r"(?:0x)?([0-9a-f]+|[0-9A-F]+)")
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-NAMED = re.compile(r"(?:[A-Za-z]+|[0-9]+|[A-Za-z]+[0-9]{1,4}|[vV][0-9]+)(?:[+/_=-]+(?:[A-Za-z]+|[0-9]+|[A-Za-z]+[0-9]{1,4}|[vV][0-9]+))*[+/_=-]*")
-LETTERS = re.compile(r"[A-Za-z]+")
+#: What stands between separators, and a part that a name can hold: a word with a short number, or a number.
+PARTS, NAMED = re.compile(r"[A-Za-z0-9]+"), re.compile(r"[vV]?[0-9]+|[A-Za-z]+[0-9]{0,4}")
+LETTERS, CAPITALS = re.compile(r"[A-Za-z]+"), re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[^A-Za-z]+|[A-Z]")
 
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_token long"
 
@@ -51,15 +56,31 @@ def vocabulary(path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def size_in_tokens(run: str, path: str) -> int:
+    """The fewest tokens of a run over its forms: as written, in lower case, split where capitals begin a word."""
+    encode = vocabulary(path).encode_ordinary
+    if len(run) > PIECE:
+        return sum(size_in_tokens(run[k : k + PIECE], path) for k in range(0, len(run), PIECE))
+    forms = [len(encode(run))]
+    if not run.islower():
+        forms.append(len(encode(run.lower())))
+        words = CAPITALS.findall(run)
+        if len(words) > 1 and len(run) >= 4 * len(words):
+            forms.append(sum(len(encode(w)) for w in words))
+    return min(forms)
+
+
+def efficient(word: str, path: str, max_ratio: float) -> bool:
+    n = size_in_tokens(word, path)
+    return n == 1 or len(word) > max_ratio * n
+
+
 def known(run: str, path: str, max_ratio: float) -> bool:
     """Whether a run is a digest or an identifier and so no finding."""
     m = DIGEST.fullmatch(run)
     if m and len(m[1]) in DIGEST_LENGTHS or UUID.fullmatch(run):
         return True
-    if not NAMED.fullmatch(run):
-        return False
-    sizes = ((len(w), len(vocabulary(path).encode_ordinary(w))) for w in LETTERS.findall(run))
-    return all(n == 1 or size > max_ratio * n for size, n in sizes)
+    return all(NAMED.fullmatch(p) for p in PARTS.findall(run)) and all(efficient(w, path, max_ratio) for w in LETTERS.findall(run))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -72,12 +93,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def random_spans(text: str, base: list[tuple[int, int, int]], path: str, max_ratio: float) -> list[tuple[int, int, int]]:
-    out = []
+    """Runs that overlap no span of base (ordered by start) and that the vocabulary finds random; both lists are walked once."""
+    out, k, reach = [], 0, 0
     for m in RUN.finditer(text):
         run = m[0]
-        if not LETTERS.search(run) or any(a < m.end() and m.start() < b for a, _, b in base):
+        while k < len(base) and base[k][0] < m.end():
+            reach = max(reach, base[k][2])
+            k += 1
+        if reach > m.start() or not LETTERS.search(run):
             continue
-        if len(run) <= max_ratio * len(vocabulary(path).encode_ordinary(run)) and not known(run, path, max_ratio):
+        if len(run) <= max_ratio * size_in_tokens(run, path) and not known(run, path, max_ratio):
             out.append((m.start(), 3, m.end()))
     return out
 

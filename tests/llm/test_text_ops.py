@@ -90,6 +90,84 @@ def test_random_letters_are_found():
     assert not any(map(found, names))
 
 
+def token_model(text, path, ratio):
+    """The token kind by its definition: every run against every base span, tokens counted by the library's own encoder."""
+    count = lambda w: len(secrets.vocabulary(path).encode_ordinary(w))
+
+    def cheapest(run):
+        words, at = [], 0
+        while at < len(run):  # a capital run, a word with or without its capital, or anything else
+            end = at + 1
+            if run[at].isupper():
+                while end < len(run) and run[end].isupper():
+                    end += 1
+                if end < len(run) and run[end].islower():
+                    end = end - 1 if end - at > 1 else end
+                if end - at == 1:
+                    while end < len(run) and run[end].islower():
+                        end += 1
+            elif run[at].islower():
+                while end < len(run) and run[end].islower():
+                    end += 1
+            else:
+                while end < len(run) and not run[end].isalpha():
+                    end += 1
+            words.append(run[at:end])
+            at = end
+        split = sum(map(count, words)) if len(words) > 1 and len(run) >= 4 * len(words) else len(run)
+        return min(count(run), count(run.lower()), split)
+
+    def fine(word):
+        return cheapest(word) == 1 or len(word) > ratio * cheapest(word)
+
+    def identifier(run):
+        parts = [p for p in re.split(r"[^A-Za-z0-9]+", run) if p]
+        plain = all(p.isdigit() or p[0] in "vV" and p[1:].isdigit() or re.fullmatch("[A-Za-z]+[0-9]{0,4}", p) for p in parts)
+        return plain and all(fine(w) for w in re.split("[^A-Za-z]+", run) if w)
+
+    out, base = [], base_model(text)
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+        a, b, run = m.start(), m.end(), m[0]
+        bare = run[2:] if run.startswith("0x") else run
+        digest = re.fullmatch("[0-9a-f]+|[0-9A-F]+", bare) and len(bare) in (32, 40, 56, 64, 96, 128)
+        uuid = [len(p) for p in run.split("-")] == [8, 4, 4, 4, 12] and re.fullmatch("[0-9a-fA-F-]+", run)
+        if b - a < 16 or not re.search("[A-Za-z]", run) or any(x < b and a < y for _, x, y in base) or digest or uuid or identifier(run):
+            continue
+        if b - a <= ratio * cheapest(run):
+            out.append((a, b))
+    return out
+
+
+def test_token_spans_equal_brute_force(spark):
+    import random
+    import string
+
+    path, rng, marks = tokens.vocabulary("byte_bpe_50k.tiktoken"), random.Random(11), "+/_=-. :'\n"
+    words = ["getElementsByClassName", "HTTPServerError", "internationalisation", "v2", "2024", "the", "password=", "token: ", "AKIA" + "Q" * 16, "deadbeef" * 5, "D41D8CD98F00B204E9800998ECF8427E", "550e8400-e29b-41d4-a716-446655440000"]
+    texts = []
+    for _ in range(300):
+        parts = [rng.choice([rng.choice(words), "".join(rng.choices(rng.choice([string.ascii_letters, string.ascii_lowercase, string.ascii_letters + string.digits, string.hexdigits]), k=rng.randrange(1, 45)))]) for _ in range(8)]
+        texts.append("".join(p + rng.choice(marks) for p in parts))
+    texts += [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    found = 0
+    for t in texts:
+        got = [(a, b) for a, k, b in secrets.find(t, path)[1] if k == 3]
+        assert got == token_model(t, path, 2.2), t
+        found += len(got)
+    assert found > 300
+
+
+@pytest.mark.parametrize("unit", ["v1/", "a", "a1", "deadbeefdeadbeef01 ", "token=", "password ", "Zx9Qv7Lm2Kp4Wd8Rt1Yb-"])
+def test_scan_is_linear(unit):
+    """A name of many parts and texts of 1.5 MB of one unit."""
+    import time
+
+    path, began = tokens.vocabulary("byte_bpe_50k.tiktoken"), time.process_time()
+    secrets.find("v1/" * 40 + "1a2b", path)
+    secrets.find(unit * (1_500_000 // len(unit)) + "1a2b", path)
+    assert time.process_time() - began < 10
+
+
 def test_redaction(spark):
     path = tokens.vocabulary("byte_bpe_50k.tiktoken")
     df = docs(spark, ["x password=abcdefghijklmnop y", None, "clean"]).withColumnsRenamed({"part": "n_chars"})
