@@ -7,8 +7,17 @@ number is widened on sample queries, against brute force within the sample, unti
 recall reaches ``target``.
 
 Equal vectors are searched once: a distinct vector carries its k + 1 smallest ids, which is
-all that k nearest with ties to the smaller id can use. Leaves are cut into blocks of bounded
-size by a hash, queries of a leaf likewise, so no leaf meets in one task.
+all that k nearest with ties to the smaller id can use.
+
+Leaves that follow each other in the tree form groups. A query is sent once to every group that
+holds a leaf of its visit, with the list of these leaves, not once per leaf. Small tables have
+about ``groups`` groups and larger ones a group per ``group_rows`` vectors, so that what is sent
+grows with the table; groups are cut by a hash into blocks of bounded size, queries likewise, so no
+group meets in one task. Vectors travel as packed doubles.
+
+Candidates are all vectors whose rough product is within the rounding margin of the (k + 1)-th
+best of their leaf; they are scored exactly and ordered by score, then id, so that
+ties are right however many vectors are equally near.
 
 Defined edge cases: rows with a null key and vectors that are null, empty, all zero, hold a null or non-finite
 component, or have another length than the most frequent one take no part, as query or as
@@ -130,9 +139,48 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.where(F.size("vec") == (sizes[0]["size"] if sizes else 0))
 
 
+def lists(values: list[np.ndarray | list], kind: pa.DataType) -> pa.Array:
+    return pa.array([np.asarray(v) for v in values], pa.list_(kind))
+
+
+def gathered(rows: DataFrame, by: list[str], schema: str, width: int) -> DataFrame:
+    """One row per `by`, whose size the dealing bounds: numbers, vectors (packed doubles) and lists of ids, one entry a row of the input.
+
+    rows: by, number, vec, ids.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
+
+        def row() -> pa.RecordBatch:
+            cols = [pa.array([c], pa.int64()) for c in current]
+            numbers, vecs, ids = zip(*held, strict=True)
+            packed = pa.array([np.concatenate(vecs).astype("<f8").tobytes()], pa.binary())
+            sizes = lists([np.concatenate([[len(i) for i in x] for x in ids])], pa.int64())
+            return pa.RecordBatch.from_arrays([*cols, lists([np.concatenate(numbers)], pa.int64()), packed, sizes, lists([[i for x in ids for own in x for i in own]], pa.int64())], names)
+
+        for b in batches:
+            keys = list(zip(*(b.column(n).to_pylist() for n in by), strict=True))
+            numbers, vecs, ids = b.column("number").to_numpy(zero_copy_only=False), matrix(b.column("vec"), width), b.column("ids").to_pylist()
+            begin = 0
+            for k in range(1, len(keys) + 1):
+                if k == len(keys) or keys[k] != keys[begin]:
+                    if current is not None and keys[begin] != current:
+                        yield row()
+                        held = []
+                    current = keys[begin]
+                    held.append((numbers[begin:k], vecs[begin:k], ids[begin:k]))
+                    begin = k
+        if current is not None:
+            yield row()
+
+    names = [c.split()[0] for c in schema.split(", ")]
+    return rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, schema)
+
+
 def nearest(
     vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20, every: int = 20, sample: int = 20_000,
-    leaf_rows: int = 256, sampled_leaf: int = 8, target: float = 0.95, block: int = 1024,
+    leaf_rows: int = 256, sampled_leaf: int = 8, target: float = 0.95, groups: int = 24, group_rows: int = 65_536, block: int = 4096, asked_rows: int = 512,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest of every row whose key is divisible by `every`."""
     spark = vectors.sparkSession
@@ -148,27 +196,34 @@ def nearest(
     picked = distinct.select("vec", F.col("ids")[0].alias("first")).orderBy(F.xxhash64("first"), "first").limit(sample).collect()  # at most `sample` vectors
     x = np.array([r["vec"] for r in picked], float)
     width = x.shape[1]
-    tree = spark.sparkContext.broadcast(fit(x, max(sampled_leaf, round(leaf_rows * len(x) / count)), k, target))
+    fitted = fit(x, max(sampled_leaf, round(leaf_rows * len(x) / count)), k, target)
+    tree = spark.sparkContext.broadcast(fitted)
+    parts = min(fitted.leaves, max(groups, -(-count // group_rows)))  # groups of leaves
+    of = lambda leaf: F.floor(leaf * parts / fitted.leaves).cast("long")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own = tree.value.assign(matrix(b.column("vec"), width))
-            yield pa.RecordBatch.from_arrays([pa.array(own), b.column("vec"), b.column("ids")], ["leaf", "vec", "ids"])
+            yield pa.RecordBatch.from_arrays([pa.array(own), b.column("vec"), b.column("ids")], ["number", "vec", "ids"])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            orders = [tree.value.order(q, tree.value.visits) for q in matrix(b.column("vec"), width)]
-            yield pa.RecordBatch.from_arrays([b.column("query"), b.column("vec"), pa.array(orders, pa.list_(pa.int64()))], ["query", "vec", "leaves"])
+            orders = [np.array(sorted(tree.value.order(q, tree.value.visits))) for q in matrix(b.column("vec"), width)]
+            yield pa.RecordBatch.from_arrays([b.column("query"), b.column("vec"), lists(orders, pa.int64())], ["query", "vec", "leaves"])
 
-    indexed = common.stored(distinct.mapInArrow(place, f"leaf long, vec {kind}, ids array<long>"), "leaves")
-    sizes = indexed.groupBy("leaf").agg((F.ceil(F.count(F.lit(1)) / block)).cast("long").alias("blocks"))
-    blocks = indexed.join(F.broadcast(sizes), "leaf")  # one row per leaf of a tree of bounded size
-    blocks = blocks.groupBy("leaf", F.pmod(F.xxhash64("vec"), F.col("blocks")).alias("block")).agg(F.collect_list(F.struct("vec", "ids")).alias("held"))
+    indexed = common.stored(distinct.mapInArrow(place, f"number long, vec {kind}, ids array<long>"), "leaves").withColumn("grp", of(F.col("number")))
+    sizes = indexed.groupBy("grp").agg((F.ceil(F.count(F.lit(1)) / block)).cast("long").alias("blocks"))
+    blocks = indexed.join(F.broadcast(sizes), "grp")  # one row per group of leaves of a tree of bounded size
+    blocks = blocks.select("grp", F.pmod(F.xxhash64("vec"), F.col("blocks")).alias("block"), "number", "vec", "ids")
+    held = gathered(blocks, ["grp", "block"], "grp long, block long, leaf array<long>, vec binary, sizes array<long>, ids array<long>", width)
 
     asked = rows.where(F.col("id") % every == 0).select("id", "vec")
     queries = asked.groupBy("vec").agg(F.min("id").alias("query"))
-    pairs = queries.mapInArrow(walk, f"query long, vec {kind}, leaves array<long>").select(F.explode("leaves").alias("leaf"), F.struct("query", "vec").alias("q"))
-    pairs = pairs.groupBy("leaf", F.pmod(F.xxhash64("q.query"), F.lit(max(1, count // every // 256))).alias("part")).agg(F.collect_list("q").alias("asked"))
+    routed = queries.mapInArrow(walk, f"query long, vec {kind}, leaves array<long>")
+    routed = routed.withColumn("grp", F.explode(F.array_distinct(F.transform("leaves", of))))
+    own = F.filter("leaves", lambda n: of(n) == F.col("grp"))
+    routed = routed.select("grp", F.pmod(F.xxhash64("query"), F.lit(max(1, count // every // asked_rows))).alias("part"), F.col("query").alias("number"), "vec", own.alias("ids"))
+    asked_ = gathered(routed, ["grp", "part"], "grp long, part long, query array<long>, qvec binary, qsizes array<long>, leaves array<long>", width)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, list[tuple[float, int]]] = {}
@@ -181,26 +236,36 @@ def nearest(
             return out
 
         for b in batches:
-            for i in range(b.num_rows):
-                held, q = (b.column(n).slice(i, 1).flatten() for n in ("held", "asked"))
-                v, ids = matrix(held.field("vec"), width), held.field("ids").to_pylist()
-                names, q = q.field("query").to_pylist(), matrix(q.field("vec"), width)
-                rough = q @ v.T
-                n = min(len(v), k + 12)
-                top = np.argpartition(-rough, n - 1, axis=1)[:, :n]
-                for j, (name, cand) in enumerate(zip(names, top, strict=True)):
-                    so_far = best.get(name, [])
-                    if len(so_far) > k:
-                        cand = cand[rough[j, cand] >= -so_far[-1][0] - 1e-6 * (1 + abs(so_far[-1][0]))]
-                    if len(cand):
-                        s = (v[cand] * q[j]).sum(axis=1)
-                        best[name] = sorted(so_far + [(-p, i) for p, c in zip(s.tolist(), cand.tolist(), strict=True) for i in ids[c]])[: k + 1]
+            for r in b.to_pylist():
+                v, q = (np.frombuffer(r[n], "<f8").reshape(-1, width) for n in ("vec", "qvec"))
+                ids, ends = r["ids"], np.concatenate([[0], np.cumsum(r["sizes"])])
+                leaf, names = np.array(r["leaf"]), np.array(r["query"])
+                wanted, whose = np.array(r["leaves"]), np.repeat(np.arange(len(q)), r["qsizes"])
+                order = np.argsort(leaf, kind="stable")
+                for own in np.unique(leaf):
+                    rows_ = order[np.searchsorted(leaf[order], own) : np.searchsorted(leaf[order], own, "right")]
+                    who = whose[wanted == own]
+                    if not len(who):
+                        continue
+                    vs, qs = v[rows_], q[who]
+                    rough = qs @ vs.T
+                    margin = 1e-12 * width * np.abs(vs).max() * np.abs(qs).sum(axis=1)
+                    n = len(rows_) - min(len(rows_), k + 1)
+                    low = np.partition(rough, n, axis=1)[:, n] - margin
+                    for j, name in enumerate(names[who].tolist()):
+                        so_far = best.get(name, [])
+                        least = max(low[j], -so_far[-1][0] - margin[j]) if len(so_far) > k else low[j]
+                        cand = np.flatnonzero(rough[j] >= least)
+                        if len(cand):
+                            s = (vs[cand] * qs[j]).sum(axis=1)
+                            found = [(-p, i) for p, c in zip(s.tolist(), rows_[cand].tolist(), strict=True) for i in ids[ends[c] : ends[c + 1]]]
+                            best[name] = sorted(so_far + found)[: k + 1]
                 if len(best) > 50_000:
                     yield flush()
         if best:
             yield flush()
 
-    found = blocks.join(pairs, "leaf").select("held", "asked").mapInArrow(search, "query long, near array<struct<minus:double,id:long>>")
+    found = held.join(asked_, "grp").mapInArrow(search, "query long, near array<struct<minus:double,id:long>>")
     merged = found.groupBy("query").agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near"))
     named = queries.select("vec", "query").join(merged, "query").select("vec", "near")
     own = asked.join(named, "vec").select(F.col("id").alias("query_id"), F.expr(f"slice(filter(near, x -> x.id <> id), 1, {k})").alias("near"))

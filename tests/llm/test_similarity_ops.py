@@ -68,6 +68,20 @@ def test_nearest_edges(spark):
     assert [tuple(r)[:3] for r in ann.nearest(vectors(spark, [(20, [1.0, 1.0]), (3, [2.0, 1.0])])).collect()] == [(20, 1, 3)]
 
 
+@pytest.mark.parametrize("block", [4096, 64])
+def test_nearest_ties_go_to_the_smallest_ids(spark, block):
+    """400 distinct vectors of equal product in one leaf, and one-hot vectors over many."""
+    rng = np.random.default_rng(1)
+    rows = [(0, [1.0] + [0.0] * 9)] + [(i, [0.5, *rng.normal(size=9).astype(np.float32).tolist()]) for i in rng.permutation(np.arange(1, 401)).tolist() if i % 20]
+    got = [r["vec_id"] for r in ann.nearest(vectors(spark, rows), target=1.0, leaf_rows=10_000, block=block, groups=1).orderBy("rank").collect()]
+    assert got == [i for i in range(1, 22) if i != 20]
+    hot = [(i, [float(j == i % 7) for j in range(7)]) for i in range(600)]
+    found = defaultdict(list)
+    for r in ann.nearest(vectors(spark, hot), target=1.0, block=block, asked_rows=8).orderBy("query_id", "rank").collect():
+        found[r["query_id"]].append(r["vec_id"])
+    assert found == {i: x[0] for i, x in brute(hot, 20, 20).items()}
+
+
 # --- near duplicates ----------------------------------------------------------------------------
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, node string, band int, rows int"
