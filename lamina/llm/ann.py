@@ -13,7 +13,8 @@ Leaves that follow each other in the tree form groups. A query is sent once to e
 holds a leaf of its visit, with the list of these leaves, not once per leaf. Small tables have
 about ``groups`` groups and larger ones a group per ``group_rows`` vectors, so that what is sent
 grows with the table; groups are cut by a hash into blocks of bounded size, queries likewise, so no
-group meets in one task. Vectors travel as packed doubles.
+group meets in one task. Vectors travel packed, in their own
+precision.
 
 Candidates are all vectors whose rough product is within the rounding margin of the (k + 1)-th
 best of their leaf; they are scored exactly and ordered by score, then id, so that
@@ -143,8 +144,8 @@ def lists(values: list[np.ndarray | list], kind: pa.DataType) -> pa.Array:
     return pa.array([np.asarray(v) for v in values], pa.list_(kind))
 
 
-def gathered(rows: DataFrame, by: list[str], schema: str, width: int) -> DataFrame:
-    """One row per `by`, whose size the dealing bounds: numbers, vectors (packed doubles) and lists of ids, one entry a row of the input.
+def gathered(rows: DataFrame, by: list[str], schema: str, width: int, unit: str) -> DataFrame:
+    """One row per `by`, whose size the dealing bounds: numbers, vectors (packed) and lists of ids, one entry a row of the input.
 
     rows: by, number, vec, ids.
     """
@@ -155,7 +156,7 @@ def gathered(rows: DataFrame, by: list[str], schema: str, width: int) -> DataFra
         def row() -> pa.RecordBatch:
             cols = [pa.array([c], pa.int64()) for c in current]
             numbers, vecs, ids = zip(*held, strict=True)
-            packed = pa.array([np.concatenate(vecs).astype("<f8").tobytes()], pa.binary())
+            packed = pa.array([np.concatenate(vecs).astype(unit).tobytes()], pa.binary())
             sizes = lists([np.concatenate([[len(i) for i in x] for x in ids])], pa.int64())
             return pa.RecordBatch.from_arrays([*cols, lists([np.concatenate(numbers)], pa.int64()), packed, sizes, lists([[i for x in ids for own in x for i in own]], pa.int64())], names)
 
@@ -189,6 +190,7 @@ def nearest(
     distinct = rows.withColumn("nth", F.row_number().over(copies)).where(F.col("nth") <= k + 1).groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     distinct = common.stored(distinct, "vectors")
     kind = distinct.schema["vec"].dataType.simpleString()
+    unit = "<f4" if kind == "array<float>" else "<f8"
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     count = distinct.count()
     if not count:
@@ -215,7 +217,7 @@ def nearest(
     sizes = indexed.groupBy("grp").agg((F.ceil(F.count(F.lit(1)) / block)).cast("long").alias("blocks"))
     blocks = indexed.join(F.broadcast(sizes), "grp")  # one row per group of leaves of a tree of bounded size
     blocks = blocks.select("grp", F.pmod(F.xxhash64("vec"), F.col("blocks")).alias("block"), "number", "vec", "ids")
-    held = gathered(blocks, ["grp", "block"], "grp long, block long, leaf array<long>, vec binary, sizes array<long>, ids array<long>", width)
+    held = gathered(blocks, ["grp", "block"], "grp long, block long, leaf array<long>, vec binary, sizes array<long>, ids array<long>", width, unit)
 
     asked = rows.where(F.col("id") % every == 0).select("id", "vec")
     queries = asked.groupBy("vec").agg(F.min("id").alias("query"))
@@ -223,7 +225,7 @@ def nearest(
     routed = routed.withColumn("grp", F.explode(F.array_distinct(F.transform("leaves", of))))
     own = F.filter("leaves", lambda n: of(n) == F.col("grp"))
     routed = routed.select("grp", F.pmod(F.xxhash64("query"), F.lit(max(1, count // every // asked_rows))).alias("part"), F.col("query").alias("number"), "vec", own.alias("ids"))
-    asked_ = gathered(routed, ["grp", "part"], "grp long, part long, query array<long>, qvec binary, qsizes array<long>, leaves array<long>", width)
+    asked_ = gathered(routed, ["grp", "part"], "grp long, part long, query array<long>, qvec binary, qsizes array<long>, leaves array<long>", width, unit)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, list[tuple[float, int]]] = {}
@@ -237,7 +239,7 @@ def nearest(
 
         for b in batches:
             for r in b.to_pylist():
-                v, q = (np.frombuffer(r[n], "<f8").reshape(-1, width) for n in ("vec", "qvec"))
+                v, q = (np.frombuffer(r[n], unit).astype(float).reshape(-1, width) for n in ("vec", "qvec"))
                 ids, ends = r["ids"], np.concatenate([[0], np.cumsum(r["sizes"])])
                 leaf, names = np.array(r["leaf"]), np.array(r["query"])
                 wanted, whose = np.array(r["leaves"]), np.repeat(np.arange(len(q)), r["qsizes"])

@@ -1,15 +1,24 @@
 """URL filter: a path-template tree per host, in DataFrame functions only.
 
-Paths are split into segments; digit runs become ``{n}``. Within a host and parent, a
-segment that is rare or whose smoothed block rate is close to its siblings' pooled rate is
-generalised to ``*``. A template is rejected when its smoothed labelled purity
-(blocked + 1) / (labelled + 2) reaches ``purity``. Labels come from the rules: a url that a
-rule fits is labelled by that rule; the template decides the others.
+Paths are split into segments; digit runs become ``{n}``. The tree is built level by level.
+Siblings below one generalised prefix of a host are candidates for each other when the same
+kinds of next segments make up a tenth or more of their urls. Of such candidates those merge
+into ``*`` with these kinds (``*(.)`` where the path ends) that are statistically alike: a
+chi-square test holds the counts of their next segments against those of all candidates together,
+which rare ones need not pass, and a binomial test their labelled block rate, where they have
+labels. Two siblings at least must merge. Children are then counted anew below the merged prefix, so
+branches that merge pool their children on every level. Below ``levels`` segments the rest of a path counts as one.
+
+A template's purity is its share of blocked labels, smoothed towards its parent's purity and
+towards one half, and so on up to the host's, which is smoothed towards the share among all labels. Templates
+whose purity reaches ``purity`` are rejected. Labels come from the rules: a url that a rule fits is
+labelled by that rule; the template decides the others. So evidence reaches unlabelled
+urls through merged branches; a parent's purity alone never rejects a branch.
 
 Defined edge cases: a null url or one without ``://`` has an empty host and path, no rule
-and the verdict of the template (allow when unlabelled). Repeated rows are judged one by
+and the verdict of the template (allow when nothing is blocked). Repeated rows are judged one by
 one and count as evidence one by one. An empty table gives an empty result. Other columns
-of the input are ignored, whatever their names.
+of the input are ignored, whatever their names; a very long path is a single deep template.
 """
 
 from __future__ import annotations
@@ -50,9 +59,70 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
+#: Tree: segments that are told apart, share below which a sibling is rare, tests in standard deviations,
+#: weights of the prior of a host and of a node, purity that rejects.
+LEVELS, MIN_SHARE, DEVIATIONS, HOST_PRIOR, PRIOR, PURITY = 8, 0.05, 3.0, 10.0, 2.0, 0.8
+
+
+def leaves_of(rows: DataFrame, levels: int) -> DataFrame:
+    """host, shape, parts (at most levels + 1), n, labelled, blocked of rows (host, path, by_rule)."""
+    counted = rows.groupBy("host", "shape").agg(
+        F.count(F.lit(1)).alias("n"), F.count("by_rule").alias("labelled"), F.count_if(F.col("by_rule") == "block").alias("blocked")
+    )
+    return counted.withColumn("parts", F.split("shape", "/", levels + 1))
+
+
+def merged_level(tree: DataFrame, depth: int, min_share: float, deviations: float) -> DataFrame:
+    """tree (leaves with their generalised prefix) with the segment at depth added to prefix, merged where siblings are alike."""
+    at = tree.withColumn("part", F.get("parts", F.lit(depth))).withColumn("child", F.coalesce(F.get("parts", F.lit(depth + 1)), F.lit("")))
+    live = at.where("part is not null")
+    cells = live.groupBy("host", "prefix", "part", "child").agg(F.sum("n").alias("o"), F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
+    each = cells.groupBy("host", "prefix", "part").agg(F.sum("o").alias("n"), F.sum("l").alias("pl"), F.sum("b").alias("pb"))
+    # the kinds that make up a tenth of a sibling: ten at most
+    main = cells.join(each.select("host", "prefix", "part", "n"), ["host", "prefix", "part"]).where("10 * o >= n")
+    main = main.groupBy("host", "prefix", "part").agg(F.array_join(F.array_sort(F.collect_set(F.when(F.col("child") == "", ".").otherwise(F.col("child")))), "|").alias("like"))
+    each = common.stored(each.join(main, ["host", "prefix", "part"]), "siblings")
+    group = ["host", "prefix", "like"]
+    cells = cells.join(each.select("host", "prefix", "part", "like"), ["host", "prefix", "part"])
+    kinds = cells.groupBy(*group, "child").agg(F.sum("o").alias("kind_n"))
+    widths = kinds.groupBy(*group).agg((F.count(F.lit(1)) - 1).alias("free"))
+    parents = each.groupBy(*group).agg(F.sum("n").alias("pn"), ((F.sum("pb") + 1) / (F.sum("pl") + 2)).alias("pooled"))
+    squares = cells.join(kinds, [*group, "child"]).groupBy("host", "prefix", "part").agg(F.sum(F.col("o") * F.col("o") / F.col("kind_n")).alias("square"))
+    siblings = each.join(squares, ["host", "prefix", "part"]).join(parents, group).join(widths, group)
+    chi = F.col("square") * F.col("pn") / F.col("n") - F.col("n")
+    alike = chi <= F.col("free") + deviations * F.sqrt(2 * F.col("free")) + 1e-6
+    off = F.col("pb") - F.col("pl") * F.col("pooled")
+    agree = off * off <= deviations * deviations * F.col("pl") * F.col("pooled") * (1 - F.col("pooled")) + 1e-6
+    joins = agree & (alike | (F.col("n") < min_share * F.col("pn")))
+    siblings = siblings.select(*group, "part", joins.cast("int").alias("joins"))
+    several = siblings.groupBy(*group).agg((F.sum("joins") > 1).alias("several"))
+    wild = F.concat(F.lit("*("), "like", F.lit(")"))
+    named = siblings.join(several, group).select("host", "prefix", "part", F.when((F.col("joins") == 1) & F.col("several"), wild).otherwise(F.col("part")).alias("named"))
+    below = F.when(F.col("named").isNull(), F.col("prefix")).otherwise(F.concat("prefix", F.lit("/" if depth else ""), "named"))
+    up = F.when(F.col("named").isNull(), F.col("ups")).otherwise(F.concat("ups", F.array("prefix")))
+    joined = at.join(named, ["host", "prefix", "part"], "left")
+    return joined.select("host", "shape", "parts", "n", "labelled", "blocked", up.alias("ups"), below.alias("prefix"))
+
+
+def purities(tree: DataFrame, rate: float, host_prior: float, prior: float) -> DataFrame:
+    """host, shape, template, template_purity of finished leaves; every ancestor's counts take part once, by its depth."""
+    path = F.concat(F.slice("ups", F.lit(2), F.greatest(F.size("ups") - 1, F.lit(0))), F.array("prefix"))
+    nodes = tree.select("host", "shape", "prefix", "labelled", "blocked", F.posexplode(path).alias("depth", "node"))
+    counts = nodes.groupBy("host", "depth", "node").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
+    hosts = tree.groupBy("host").agg(F.sum("labelled").alias("hl"), F.sum("blocked").alias("hb"))
+    hosts = hosts.select("host", ((F.col("hb") + host_prior * rate) / (F.col("hl") + host_prior)).alias("host_purity"))
+    chains = tree.select("host", "prefix", path.alias("path")).distinct()
+    chains = chains.select("host", "prefix", F.posexplode("path").alias("depth", "node")).join(counts, ["host", "depth", "node"])
+    chains = chains.groupBy("host", "prefix").agg(F.array_sort(F.collect_list(F.struct("depth", "l", "b"))).alias("chain")).join(hosts, "host")
+    down = F.aggregate("chain", F.col("host_purity"), lambda p, x: (x["b"] + prior * (p + 0.5)) / (x["l"] + 2 * prior))
+    pure = chains.select("host", "prefix", down.alias("template_purity"))
+    return tree.select("host", "shape", "prefix").join(pure, ["host", "prefix"]).select("host", "shape", F.col("prefix").alias("template"), "template_purity")
+
+
 def judge(
-    urls: DataFrame, rules=RULES, min_share: float = 0.05, similar: float = 0.1, purity: float = 0.8, key: str = "page_id", url: str = "url"
-) -> DataFrame:
+    urls: DataFrame, rules=RULES, levels: int = LEVELS, min_share: float = MIN_SHARE, deviations: float = DEVIATIONS, host_prior: float = HOST_PRIOR,
+    prior: float = PRIOR, purity: float = PURITY, key: str = "page_id", url: str = "url",
+) -> DataFrame:
     """key, host, path, rule, verdict, template, template_purity for every row of urls.
 
     Only (host, shape) counts enter the tree, pre-aggregated before their shuffle; the way
@@ -63,32 +133,15 @@ def judge(
     rule, by_rule = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.select(key, "host", "path", rule.alias("rule"), by_rule.alias("by_rule"), F.regexp_replace("path", "[0-9]+", "{n}").alias("shape"))
 
-    labelled = F.col("by_rule").isNotNull().cast("long")
-    leaves = rows.groupBy("host", "shape").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(labelled).alias("labelled"), F.sum((F.col("by_rule") == "block").cast("long")).alias("b")
-    ).select("host", "shape", "n", "labelled", F.coalesce("b", F.lit(0)).alias("blocked"))
-    leaves = common.stored(leaves, "leaves")  # the tree is read from here, not from the rows again
-
-    parts = F.split("shape", "/", -1)
-    nodes = leaves.select("host", "shape", "n", "labelled", "blocked", parts.alias("parts"), F.posexplode(parts).alias("depth", "part"))
-    nodes = nodes.withColumn("parent", F.array_join(F.expr("slice(parts, 1, depth)"), "/")).drop("parts")
-    branches = nodes.groupBy("host", "depth", "parent", "part").agg(F.sum("n").alias("bn"), F.sum("labelled").alias("bl"), F.sum("blocked").alias("bb"))
-    parents = branches.groupBy("host", "depth", "parent").agg(F.sum("bn").alias("pn"), F.sum("bl").alias("pl"), F.sum("bb").alias("pb"), F.count(F.lit(1)).alias("width"))
-    rate = lambda b, n: (F.col(b) + 1) / (F.col(n) + 2)
-    variable = (F.col("width") > 1) & (
-        (F.col("bn") < min_share * F.col("pn")) | ((F.col("bl") > 0) & (F.abs(rate("bb", "bl") - rate("pb", "pl")) <= similar))
-    )
-    named = branches.join(parents, ["host", "depth", "parent"]).select("host", "depth", "parent", "part", F.when(variable, "*").otherwise(F.col("part")).alias("named"))
-    templates = nodes.join(named, ["host", "depth", "parent", "part"]).groupBy("host", "shape").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("depth", "named"))), lambda x: x["named"]), "/").alias("template")
-    )
-    leaves = leaves.join(templates, ["host", "shape"])
-    pure = leaves.groupBy("host", "template").agg(F.sum("labelled").alias("tl"), F.sum("blocked").alias("tb"))
-    pure = pure.select("host", "template", rate("tb", "tl").alias("template_purity"))
-    leaves = leaves.join(pure, ["host", "template"]).select("host", "shape", "template", "template_purity")
+    tree = common.stored(leaves_of(rows, levels), "leaves")  # the tree is read from here, not from the rows again
+    deepest, labelled, blocked = tree.agg(F.max(F.size("parts")), F.sum("labelled"), F.sum("blocked")).first()
+    tree = tree.withColumn("ups", F.array().cast("array<string>")).withColumn("prefix", F.lit(""))
+    for depth in range(deepest or 0):
+        tree = common.stored(merged_level(tree, depth, min_share, deviations), f"level-{depth}")
+    judged = purities(tree, ((blocked or 0) + 1) / ((labelled or 0) + 2), host_prior, prior)
 
-    by_tree = F.when(F.col("template_purity") >= purity, "block").otherwise("allow")
-    return rows.join(leaves, ["host", "shape"], "left").select(
+    by_tree = F.when(F.col("template_purity") >= purity - 1e-9, "block").otherwise("allow")
+    return rows.join(judged, ["host", "shape"], "left").select(
         key, "host", "path", "rule", F.coalesce("by_rule", by_tree).alias("verdict"), "template", "template_purity"
     )
 
@@ -97,8 +150,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(common.pages(spark, sf_dir).select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
-ORACLE = """
-WITH cut AS (
+#: What the twin begins with: hosts, paths and rules.
+SQL_RULED = """WITH cut AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 parsed AS (
   SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -113,24 +166,58 @@ ruled AS (
 shaped AS (
   SELECT page_id, host, path, rule,
     CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS by_rule,
-    regexp_replace(path, '[0-9]+', '{n}', 'g') AS shape FROM ruled),
+    regexp_replace(path, '[0-9]+', '{n}', 'g') AS shape FROM ruled),"""
+
+
+def sql_level(d: int) -> str:
+    """One level of the tree as common table expressions: from tree{d} to tree{d + 1}."""
+    return f"""
+live{d} AS (SELECT host, prefix, parts[{d + 1}] AS part, coalesce(parts[{d + 2}], '') AS child, n, labelled, blocked FROM tree{d} WHERE len(parts) > {d}),
+cells{d} AS (SELECT host, prefix, part, child, sum(n)::DOUBLE AS o, sum(labelled)::DOUBLE AS l, sum(blocked)::DOUBLE AS b FROM live{d} GROUP BY ALL),
+each{d} AS (
+  SELECT *, (SELECT string_agg(kind, '|' ORDER BY kind) FROM (SELECT CASE WHEN child = '' THEN '.' ELSE child END AS kind FROM cells{d} c
+             WHERE c.host = e.host AND c.prefix = e.prefix AND c.part = e.part AND 10 * c.o >= e.n)) AS alike
+  FROM (SELECT host, prefix, part, sum(o) AS n, sum(l) AS l, sum(b) AS b FROM cells{d} GROUP BY ALL) e),
+own{d} AS (SELECT c.host, c.prefix, c.part, c.child, c.o, e.alike FROM cells{d} c JOIN each{d} e ON c.host = e.host AND c.prefix = e.prefix AND c.part = e.part),
+kinds{d} AS (SELECT host, prefix, alike, child, sum(o) AS kind_n FROM own{d} GROUP BY ALL),
+parents{d} AS (SELECT host, prefix, alike, sum(n) AS pn, (sum(b) + 1) / (sum(l) + 2) AS rate FROM each{d} GROUP BY ALL),
+widths{d} AS (SELECT host, prefix, alike, count(*) - 1 AS free FROM kinds{d} GROUP BY ALL),
+squares{d} AS (
+  SELECT c.host, c.prefix, c.part, sum(c.o * c.o / k.kind_n) AS square
+  FROM own{d} c JOIN kinds{d} k ON c.host = k.host AND c.prefix = k.prefix AND c.alike = k.alike AND c.child = k.child GROUP BY ALL),
+tested{d} AS (
+  SELECT s.host, s.prefix, s.alike, s.part,
+    (b - l * rate) * (b - l * rate) <= {DEVIATIONS**2}::DOUBLE * l * rate * (1 - rate) + 1e-6 AND
+    (square * pn / n - n <= free + {DEVIATIONS}::DOUBLE * sqrt(2 * free) + 1e-6 OR n < {MIN_SHARE}::DOUBLE * pn) AS joins
+  FROM each{d} s JOIN squares{d} q ON s.host = q.host AND s.prefix = q.prefix AND s.part = q.part
+    JOIN parents{d} p ON s.host = p.host AND s.prefix = p.prefix AND s.alike = p.alike JOIN widths{d} w ON s.host = w.host AND s.prefix = w.prefix AND s.alike = w.alike),
+named{d} AS (
+  SELECT host, prefix, part,
+    CASE WHEN joins AND count(CASE WHEN joins THEN 1 END) OVER (PARTITION BY host, prefix, alike) > 1 THEN '*(' || alike || ')' ELSE part END AS named FROM tested{d}),
+tree{d + 1} AS (
+  SELECT t.host, t.shape, t.parts, t.n, t.labelled, t.blocked,
+    CASE WHEN m.named IS NULL THEN t.path ELSE list_append(t.path, t.prefix{" || '/'" if d else ""} || m.named) END AS path,
+    CASE WHEN m.named IS NULL THEN t.prefix ELSE t.prefix{" || '/'" if d else ""} || m.named END AS prefix
+  FROM tree{d} t LEFT JOIN named{d} m ON t.host = m.host AND t.prefix = m.prefix AND t.parts[{d + 1}] = m.part)"""
+
+
+ORACLE = f"""
+{SQL_RULED}
 leaves AS (
   SELECT host, shape, count(*) AS n, count(by_rule) AS labelled, count(CASE WHEN by_rule = 'block' THEN 1 END) AS blocked FROM shaped GROUP BY host, shape),
-nodes AS (
-  SELECT host, shape, n, labelled, blocked, depth, parts[depth + 1] AS part, array_to_string(parts[1:depth], '/') AS parent
-  FROM (SELECT *, string_split(shape, '/') AS parts, unnest(range(0, len(string_split(shape, '/')))) AS depth FROM leaves)),
-branches AS (SELECT host, depth, parent, part, sum(n) AS bn, sum(labelled) AS bl, sum(blocked) AS bb FROM nodes GROUP BY host, depth, parent, part),
-parents AS (SELECT host, depth, parent, sum(bn) AS pn, sum(bl) AS pl, sum(bb) AS pb, count(*) AS width FROM branches GROUP BY host, depth, parent),
-named AS (
-  SELECT b.host, b.depth, b.parent, b.part,
-    CASE WHEN width > 1 AND (bn < 0.05::DOUBLE * pn OR (bl > 0 AND abs((bb + 1)::DOUBLE / (bl + 2) - (pb + 1)::DOUBLE / (pl + 2)) <= 0.1::DOUBLE)) THEN '*' ELSE b.part END AS named
-  FROM branches b JOIN parents p ON b.host = p.host AND b.depth = p.depth AND b.parent = p.parent),
-templates AS (
-  SELECT n.host, n.shape, string_agg(m.named, '/' ORDER BY n.depth) AS template
-  FROM nodes n JOIN named m ON n.host = m.host AND n.depth = m.depth AND n.parent = m.parent AND n.part = m.part GROUP BY n.host, n.shape),
-pure AS (
-  SELECT t.host, t.template, (sum(blocked) + 1)::DOUBLE / (sum(labelled) + 2) AS purity
-  FROM leaves l JOIN templates t ON l.host = t.host AND l.shape = t.shape GROUP BY t.host, t.template)
-SELECT s.page_id, s.host, s.path, s.rule, coalesce(s.by_rule, CASE WHEN p.purity >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict
-FROM shaped s LEFT JOIN templates t ON s.host = t.host AND s.shape = t.shape LEFT JOIN pure p ON p.host = t.host AND p.template = t.template
+tree0 AS (
+  SELECT host, shape, CASE WHEN len(p) > {LEVELS} + 1 THEN list_append(p[1:{LEVELS}], array_to_string(p[{LEVELS} + 1:], '/')) ELSE p END AS parts, n, labelled, blocked,
+    []::VARCHAR[] AS path, '' AS prefix FROM (SELECT *, string_split(shape, '/') AS p FROM leaves)),
+{",".join(sql_level(d) for d in range(LEVELS + 1))},
+hosts AS (
+  SELECT host, (sum(blocked) + {HOST_PRIOR}::DOUBLE * (SELECT (sum(blocked) + 1)::DOUBLE / (sum(labelled) + 2) FROM leaves)) / (sum(labelled) + {HOST_PRIOR}::DOUBLE) AS purity
+  FROM leaves GROUP BY host),
+nodes AS (SELECT host, depth, path[depth] AS node, sum(labelled) AS l, sum(blocked) AS b FROM (SELECT *, unnest(range(1, len(path) + 1)) AS depth FROM tree{LEVELS + 1}) GROUP BY ALL),
+pure0 AS (SELECT DISTINCT t.host, t.prefix, t.path, h.purity FROM tree{LEVELS + 1} t JOIN hosts h ON t.host = h.host),
+{",".join(f"""
+pure{d} AS (
+  SELECT p.host, p.prefix, p.path, CASE WHEN n.node IS NULL THEN p.purity ELSE (n.b + {PRIOR}::DOUBLE * (p.purity + 0.5::DOUBLE)) / (n.l + 2 * {PRIOR}::DOUBLE) END AS purity
+  FROM pure{d - 1} p LEFT JOIN nodes n ON n.host = p.host AND n.depth = {d} AND n.node = p.path[{d}])""" for d in range(1, LEVELS + 2))}
+SELECT s.page_id, s.host, s.path, s.rule, coalesce(s.by_rule, CASE WHEN p.purity >= {PURITY}::DOUBLE - 1e-9 THEN 'block' ELSE 'allow' END) AS verdict
+FROM shaped s LEFT JOIN tree{LEVELS + 1} t ON s.host = t.host AND s.shape = t.shape LEFT JOIN pure{LEVELS + 1} p ON p.host = t.host AND p.prefix = t.prefix
 """

@@ -175,6 +175,26 @@ def test_pure_templates_are_rejected(spark):
     assert urls.judge(pages(spark, [])).collect() == []
 
 
+def test_evidence_reaches_unlabelled_branches(spark):
+    """Branches whose children look alike merge and share their labels on every level; others and other hosts do not."""
+    rules = (("block", "h.io/es/"), ("block", "h.io/fr/"), ("allow", "h.io/docs/"), ("allow", "k.io/"))
+    rows, k = [], 0
+    for lang in ("es", "fr", "de", "pt"):
+        for n in range(30):
+            rows.append((k := k + 1, f"http://h.io/{lang}/{n}" + (".html" if n % 3 == 0 else ""), None))
+    for n in range(60):
+        rows.append((k := k + 1, f"http://h.io/docs/a{chr(97 + n % 26)}/x", None))
+        rows.append((k := k + 1, f"http://k.io/de/{n}", None))
+        rows.append((k := k + 1, f"http://free.io/de/{n}", None))
+    got = {r["page_id"]: r for r in urls.judge(pages(spark, rows), rules).collect()}
+    for i, u, _ in rows:
+        assert got[i]["verdict"] == ("block" if "h.io" in u and "/docs/" not in u else "allow"), u
+        if "h.io" in u and "/docs/" not in u:
+            assert got[i]["template"] in ("/*({n}.html|{n})/*(.)", "/*({n}|{n}.html)/*(.)")
+    deep = [(i, "http://d.io/" + "/".join(["a"] * 20 + [str(i)]), None) for i in range(5)]
+    assert {r["template"] for r in urls.judge(pages(spark, deep), rules).collect()} == {"/a" * 20 + "/{n}"}
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_equals_sql(spark, name):
     assert compare.of_spark(queries.QUERIES[name](spark, SF)) == compare.of_sql(compare.connect(SF), queries.ORACLE[name])
