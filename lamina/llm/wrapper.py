@@ -2,20 +2,26 @@
 
 Each page becomes a DOM tree whose repeated siblings are folded into one node; a node is
 named by the path of tags and classes above it. Trees of one host are aligned by simple tree
-matching, so that nodes of different layouts share a template node. A template node whose
-text is the same on every page of the host is constant: template. Others are slots: content
-where they lie in the page's content region.
+matching, so that nodes of different layouts share a template node. The text blocks of a
+template node are aligned from both ends (the first and last ``EDGE`` of a page), so a repeated
+sibling is a place of its own.
 
-The content region is the page's article or main element, or, without one, the whole page.
-Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles and comments are told by tag, role, class or id and never count as content.
+A place is judged over the pages of its host, if these are ``min_pages`` or more with different
+main texts. It is template when it says the same on every page that has it. It is a template with a hole when its first or last
+``HELD`` words are the same everywhere and it is ``SHORT`` characters long at most on average, and navigation when ``LINKED`` of its text stands in links.
+Template goes from every page; holes and navigation go from pages without an article or
+main element, which otherwise bounds the content. All other places are slots and stay. A page that
+would lose more than half of its content, and more than ``COPIED`` characters, keeps it: such pages are near copies of each other.
 
-Only digests of slots are grouped, pre-aggregated, and distinct layouts are aligned in groups
-of bounded size; pages meet their host's constant paths in an equi-join whose hot hosts
-adaptive execution splits.
+Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are
+told by tag, role, class or id beside that and never count as content.
+
+Only statistics of places are grouped, pre-aggregated, and distinct layouts are aligned in groups
+of bounded size; pages meet their host's places in an equi-join whose hot hosts
+adaptive execution splits. Parsing takes time and memory linear in the page.
 
 Defined edge cases: a null or empty html gives the empty text; a page without markup gives
-its text; a host with fewer than ``min_pages`` different pages has no constants; equal pages
+its text; what follows a tag or comment that never ends is no text; a host with fewer than ``min_pages`` different pages has no template; equal pages
 give equal texts; a null url or one without host forms a host of its own (empty); repeated
 rows give one result each; elements nested very deeply keep their text; an empty table gives no row; other columns are ignored.
 """
@@ -35,11 +41,13 @@ from pyspark.sql import functions as F
 
 from . import common, urls
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe)\b(?P<rawattrs>[^>]*)>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>|"
-    r"<(?P<end>/)?(?P<tag>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|</?[A-Za-z][^<>]*\Z",
-    re.DOTALL | re.IGNORECASE,
-)
+TAG = re.compile(r"<(?P<end>/)?(?P<tag>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>")
+#: The same where a quote is never closed: the tag ends at the first >.
+UNQUOTED = re.compile(r"<(?P<end>/)?(?P<tag>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>[^>]*)>")
+BEGINS = re.compile(r"</?[A-Za-z]")
+RAW = {t: re.compile(rf"</{t}\s*>", re.IGNORECASE) for t in "script style noscript template textarea title svg iframe".split()}
+#: Numbers of characters that no reference needs.
+LONG_REFERENCE = re.compile(r"&#(?:[0-9]{8,}|[xX][0-9a-fA-F]{7,});?")
 ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr b bdi bdo big br cite code data dfn del em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
@@ -59,9 +67,9 @@ BLOCK_ENDS_P = set("address article aside blockquote div dl fieldset footer form
 SCOPE = set("article section div main body table ul ol td th aside nav header footer form blockquote".split())
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
-    """An element; name: tag with classes; path: names from the root; blocks: indexes of its text blocks."""
+    """An element; name: tag with classes; path: names from the root; skipped and main hold for all below it; block: its nearest element that is not inline."""
 
     tag: str
     name: str
@@ -69,91 +77,160 @@ class Node:
     skipped: bool
     main: bool
     depth: int = 0
+    block: Node | None = None
     children: dict[str, Node] = field(default_factory=dict)
 
 
-#: Elements deeper than this share the template node of their ancestor at that depth.
-MAX_DEPTH = 100
+@dataclass(slots=True)
+class Block:
+    """A text block: the path of its element, its text and how much of that stands in links; whether in a skipped or a main element."""
+
+    path: str
+    text: str
+    linked: int
+    skipped: bool
+    main: bool
 
 
-def parse(text: str) -> tuple[Node, list[tuple[Node, str, list[Node]]]]:
-    """The folded tree and the page's text blocks in order: (node, text, open elements)."""
+#: Elements deeper than this share the template node of their ancestor at that depth; longer names are digests.
+MAX_DEPTH, MAX_NAME = 100, 80
+
+
+def markup(text: str) -> Iterator[tuple[str, re.Match | None]]:
+    """(text before, tag) in order, the tag None at the end; comments, declarations and raw elements are passed over, but for their tag."""
+    at, look, tag = 0, 0, TAG
+    while True:
+        i = text.find("<", look)
+        if i < 0:
+            yield text[at:], None
+            return
+        if text.startswith("<!--", i) or text.startswith(("<!", "<?"), i):
+            close = "-->" if text.startswith("<!--", i) else ">"
+            end = text.find(close, i + (4 if len(close) == 3 else 2))
+            yield text[at:i], None
+            if end < 0:
+                return
+            at = look = end + len(close)
+            continue
+        if not BEGINS.match(text, i):
+            look = i + 1
+            continue
+        m = tag.match(text, i)
+        if m is None and tag is TAG:
+            tag = UNQUOTED
+            m = tag.match(text, i)
+        yield text[at:i], m
+        if m is None:
+            return
+        at = look = m.end()
+        raw = RAW.get(m["tag"].lower()) if not m["end"] else None
+        if raw and not (m["attrs"].endswith("/") and m["tag"].lower() == "svg"):
+            end = raw.search(text, at)
+            at = look = end.end() if end else len(text)
+
+
+class Open:
+    """The open elements, with the places of each tag and of scopes, so that ends are found at once."""
+
+    def __init__(self, root: Node):
+        self.stack, self.scopes = [root], []
+        self.at: dict[str, list[int]] = {}
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag in SCOPE:
+            self.scopes.append(len(self.stack))
+        self.stack.append(node)
+
+    def last(self, tags) -> int:
+        """The place of the last open element of some tags, or 0."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def scope(self) -> int:
+        return self.scopes[-1] if self.scopes else 0
+
+    def cut(self, k: int) -> bool:
+        """Closes all from place k on; whether one of them is not inline."""
+        block = False
+        while len(self.stack) > k:
+            gone = self.stack.pop()
+            self.at[gone.tag].pop()
+            if gone.tag in SCOPE:
+                self.scopes.pop()
+            block |= gone.tag not in INLINE
+        return block
+
+
+def unescaped(chunk: str) -> str:
+    return entities.unescape(LONG_REFERENCE.sub("\ufffd", chunk)) if "&" in chunk else chunk
+
+
+def parse(text: str) -> tuple[Node, list[Block]]:
+    """The folded tree and the page's text blocks in order."""
     root = Node("", "", "", False, False)
-    stack, blocks, parts = [root], [], []
-    owner = [root]
+    root.block = root
+    open_, blocks, parts = Open(root), [], []
+    owner, linked = [root, root], [0]
 
     def flush() -> None:
         if parts:
             joined = " ".join("".join(parts).split())
             if joined:
-                blocks.append((owner[0], joined, owner[1:] or [root]))
+                blocks.append(Block(owner[0].path, joined, min(linked[0], len(joined)), owner[1].skipped, owner[1].main))
             parts.clear()
+            linked[0] = 0
 
-    def say(chunk: str) -> None:
-        if chunk:
+    for before, m in markup(text):
+        if before:
             if not parts:
-                at = len(stack) - 1
-                while at and stack[at].tag in INLINE:
-                    at -= 1
-                owner[:] = [stack[at], *stack]
-            parts.append(entities.unescape(chunk) if "&" in chunk else chunk)
-
-    at = 0
-    for m in TOKEN.finditer(text):
-        say(text[at : m.start()])
-        at = m.end()
-        if m["raw"]:
-            if m["raw"].lower() == "textarea":
-                flush()
-            continue
-        if not m["tag"]:
+                owner[:] = [open_.stack[-1].block, open_.stack[-1]]
+            parts.append(unescaped(before))
+            if open_.at.get("a"):
+                linked[0] += len(before)
+        if m is None:
             continue
         tag = m["tag"].lower()
-        inline = tag in INLINE
+        if tag in RAW:
+            if tag == "textarea":
+                flush()
+            continue
         if tag == "br":
             if parts:
                 parts.append(" ")
             continue
+        inline = tag in INLINE
         if not inline:
             flush()
         if m["end"]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    gone = stack[k:]
-                    del stack[k:]
-                    if inline and any(x.tag not in INLINE for x in gone):
-                        flush()
-                    break
-                if inline and stack[k].tag in SCOPE:
-                    break
+            k = open_.last((tag,))
+            if k and (not inline or k > open_.scope()) and open_.cut(k) and inline:
+                flush()
             continue
         if tag in VOID:
             continue
         ends = CLOSES.get(tag, set()) | ({"p"} if tag in BLOCK_ENDS_P else set())
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in ends:
-                del stack[k:]
-                break
-            if stack[k].tag in SCOPE:
-                break
+        k = open_.last(ends)
+        if k and k >= open_.scope():
+            open_.cut(k)
         attrs = {a.lower(): b or c or d or "" for a, b, c, d in ATTR.findall(m["attrs"])} if m["attrs"] else {}
-        up = stack[-1]
+        up = open_.stack[-1]
         marks = {w.lower() for a in ("class", "id") for w in WORDS.findall(attrs.get(a, ""))} if attrs and tag not in ("html", "body", "article", "main") else set()
         marks = marks & BOILERPLATE | ({tag} & SKIPPED) | ({attrs.get("role", "").lower()} & ROLES)
-        if marks & HEADS and any(x.main for x in stack):
+        if marks & HEADS and up.main:
             marks -= HEADS
         skipped = bool(marks) or "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true"
         main = tag in ("article", "main") or attrs.get("role", "").lower() in ("main", "article") or "articleBody" in m["attrs"]
-        name = tag + "".join("." + c for c in sorted(attrs.get("class", "").split())) + "!" * skipped + "^" * main
+        classes = "".join("." + c for c in sorted(attrs.get("class", "").split()))
+        name = tag + (classes if len(classes) <= MAX_NAME else f".{number(classes)}") + "!" * skipped + "^" * main
         node = up.children.get(name)
         if node is None:
-            if up.depth < MAX_DEPTH:
-                node = up.children[name] = Node(tag, name, f"{up.path}/{name}", up.skipped or skipped, main, up.depth + 1)
-            else:
-                node = Node(tag, name, up.path, up.skipped or skipped, main, up.depth)
+            deep = up.depth >= MAX_DEPTH
+            node = Node(tag, name, up.path if deep else f"{up.path}/{name}", up.skipped or skipped, up.main or main, up.depth + (not deep))
+            node.block = up.block if inline else node
+            if not deep:
+                up.children[name] = node
         if not m["attrs"].endswith("/"):
-            stack.append(node)
-    say(text[at:])
+            open_.push(node)
     flush()
     return root, blocks
 
@@ -164,26 +241,42 @@ def layout(node: Node) -> list:
 
 
 def matching(a: list, b: list) -> tuple[int, list[tuple[list, list]]]:
-    """Simple tree matching: the size of the largest order-keeping match of two trees, and the matched nodes."""
+    """Simple tree matching: the size of the largest order-keeping match of two trees, and the matched nodes.
+
+    Only children of equal names can match, so the best match of two lists of children is
+    the heaviest increasing chain of such pairs, found with prefix maxima in a Fenwick tree.
+    """
     if a[0] != b[0]:
         return 0, []
-    x, y = a[1], b[1]
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    pairs = {}
-    for i, p in enumerate(x, 1):
-        for j, q in enumerate(y, 1):
-            pairs[i, j] = matching(p, q) if p[0] == q[0] else (0, [])
-            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + pairs[i, j][0])
-    found, i, j = [(a, b)], len(x), len(y)
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            found += pairs[i, j][1]
-            i, j = i - 1, j - 1
-    return best[-1][-1] + 1, found
+    places: dict[str, list[int]] = {}
+    for j, q in enumerate(b[1], 1):
+        places.setdefault(q[0], []).append(j)
+    pairs = [(i, j) for i, p in enumerate(a[1]) for j in reversed(places.get(p[0], ()))]  # later j first: a child matches once
+    n = len(b[1])
+    best: list[tuple[int, int]] = [(0, -1)] * (n + 1)  # weight and last pair of the best chain that ends at or before a place
+    chain, below = [], []
+    for i, j in pairs:
+        size, inner = matching(a[1][i], b[1][j - 1])
+        at, so_far = j - 1, (0, -1)
+        while at:
+            so_far = max(so_far, best[at])
+            at -= at & -at
+        chain.append(so_far[1])
+        below.append(inner)
+        at, own = j, (so_far[0] + size, len(chain) - 1)
+        while at <= n:
+            if own[0] > best[at][0]:
+                best[at] = own
+            at += at & -at
+    at, end = n, (0, -1)
+    while at:
+        end = max(end, best[at])
+        at -= at & -at
+    found, k = [(a, b)], end[1]
+    while k >= 0:
+        found += below[k]
+        k = chain[k]
+    return end[0] + 1, found
 
 
 class Template:
@@ -219,38 +312,69 @@ def number(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-SLOTS = "host string, layout string, path string, digest long, page long"
+#: Blocks of a node that are places of their own, from each end; words that a template with a hole holds, and its mean length; share of navigation.
+EDGE, HELD, SHORT, LINKED = 3, 3, 200, 0.8
+#: No template within the content is as long as that and longer than the rest.
+COPIED = 500
+
+
+def placed(blocks: list[Block]) -> list[list[str]]:
+    """The places of each block: its path with its number from the start and from the end, as far as these are at most EDGE."""
+    total: dict[str, int] = {}
+    for b in blocks:
+        total[b.path] = total.get(b.path, 0) + 1
+    seen: dict[str, int] = {}
+    out = []
+    for b in blocks:
+        k = seen.get(b.path, 0)
+        seen[b.path] = k + 1
+        left = total[b.path] - k
+        out.append([f"{b.path}#{k + 1}"] * (k < EDGE) + [f"{b.path}#-{left}"] * (left <= EDGE))
+    return out
+
+
+def region(blocks: list[Block]) -> list[Block]:
+    """What the page's markup alone makes content: blocks within article or main, or all, without what is skipped."""
+    shown = [b for b in blocks if not b.skipped]
+    return [b for b in shown if b.main] or shown
+
+
+SLOTS = "host string, layout string, path string, place string, digest long, head long, tail long, size long, linked long, page long"
+STATISTICS = ("digest", "head", "tail")
 
 
 def slots(pages: DataFrame) -> DataFrame:
-    """SLOTS rows: each node's own text as a digest, with the digest of its page."""
+    """SLOTS rows: each place's text, its first and its last words as digests, with the digest of its page's main text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for host, text in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 root, blocks = parse(text or "")
-                shape, page = json.dumps(layout(root)), number("\n".join(b for _, b, _ in blocks))
-                by: dict[str, list[str]] = {}
-                for node, block, _ in blocks:
-                    by.setdefault(node.path, []).append(block)
-                out += [(host, shape, path, number("\n".join(b)), page) for path, b in by.items()]
-            kinds = [pa.string()] * 3 + [pa.int64()] * 2
-            cols = zip(*out, strict=True) if out else [()] * 5
+                shape, page = json.dumps(layout(root)), number("\n".join(b.text for b in region(blocks)))
+                for b, places in zip(blocks, placed(blocks), strict=True):
+                    whole, words = number(b.text), b.text.split(" ")
+                    # of a text that is too short to have a hole, head and tail are the text's own
+                    head, tail = (number(" ".join(w)) for w in (words[:HELD], words[-HELD:])) if len(words) > HELD else (whole, whole)
+                    out += [(host, shape, b.path, p, whole, head, tail, len(b.text), b.linked, page) for p in places]
+            kinds = [pa.string()] * 4 + [pa.int64()] * 6
+            cols = zip(*out, strict=True) if out else [()] * 10
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], [x.split()[0] for x in SLOTS.split(", ")])
 
     return pages.select("host", "html").mapInArrow(run, SLOTS)
 
 
 def induce(found: DataFrame, min_pages: int, together: int = 200) -> DataFrame:
-    """host, constant (paths) from SLOTS rows: nodes that say the same on min_pages or more different pages of the host.
+    """host, template (places), hole (places) from SLOTS rows; hole: templates with a hole and navigation.
 
-    Statistics of nodes are minima, maxima and distinct-count sketches, which all combine before
+    Statistics of places are minima, maxima, sums and distinct-count sketches, which all combine before
     their shuffles. The layouts of a host are aligned in groups of about `together`; template
     nodes of the groups meet by name, so no host meets in one task.
     """
-    nodes = found.groupBy("host", "layout", "path").agg(F.min("digest").alias("low"), F.max("digest").alias("high"), F.hll_sketch_agg("page", 10).alias("pages"))
-    nodes = common.stored(nodes, "nodes")
+    sums = [F.sum(c).alias(c) for c in ("size", "linked", "n")]
+    extremes = [f(c).alias(f"{n}_{c}") for c in STATISTICS for n, f in (("low", F.min), ("high", F.max))]
+    places = found.withColumn("n", F.lit(1)).groupBy("host", "layout", "path", "place").agg(*extremes, *sums, F.hll_sketch_agg("page", 8).alias("pages"))
+    places = common.stored(places, "places")
 
     def build(key, table):
         template, out = Template(), []
@@ -258,25 +382,37 @@ def induce(found: DataFrame, min_pages: int, together: int = 200) -> DataFrame:
             out += [(key[0].as_py(), shape, path, node) for path, node in template.align(json.loads(shape)).items()]
         return pa.Table.from_arrays([pa.array(c, pa.string()) for c in zip(*out, strict=True)], ["host", "layout", "path", "node"])
 
-    layouts = nodes.select("host", "layout").distinct()
+    layouts = places.select("host", "layout").distinct()
     parts = layouts.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / together).alias("parts"))
     dealt = layouts.join(parts, "host").withColumn("part", F.pmod(F.xxhash64("layout"), F.col("parts")))
     aligned = dealt.groupBy("host", "part").applyInArrow(build, "host string, layout string, path string, node string")
-    named = nodes.join(aligned, ["host", "layout", "path"])
-    fixed = named.groupBy("host", "node").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.hll_sketch_estimate(F.hll_union_agg("pages")).alias("pages"))
-    fixed = fixed.select("host", "node", ((F.col("low") == F.col("high")) & (F.col("pages") >= min_pages)).alias("fixed"))
-    paths = named.select("host", "path", "node").distinct().join(fixed, ["host", "node"]).groupBy("host", "path").agg(F.every("fixed").alias("fixed"))
-    return paths.where("fixed").groupBy("host").agg(F.array_sort(F.collect_list("path")).alias("constant"))
-
-
-def main_text(text: str, constant: set[str]) -> str:
-    """The main text of a page, given the paths of its host's constant nodes."""
+    named = places.join(aligned, ["host", "layout", "path"]).withColumn("nth", F.substring_index("place", "#", -1))
+    again = [f(f"{n}_{c}").alias(f"{n}_{c}") for c in STATISTICS for n, f in (("low", F.min), ("high", F.max))]
+    judged = named.groupBy("host", "node", "nth").agg(*again, *sums, F.hll_sketch_estimate(F.hll_union_agg("pages")).alias("pages"))
+    same = {c: F.col(f"low_{c}") == F.col(f"high_{c}") for c in STATISTICS}
+    many, short = F.col("pages") >= min_pages, F.col("size") <= SHORT * F.col("n")
+    hole = (same["head"] | same["tail"]) & short | (F.col("linked") >= LINKED * F.col("size"))
+    judged = judged.select("host", "node", "nth", (many & same["digest"]).alias("template"), (many & hole).alias("hole"))
+    back = named.select("host", "place", "node", "nth").distinct().join(judged, ["host", "node", "nth"])
+    back = back.groupBy("host", "place").agg(F.every("template").alias("template"), F.every("hole").alias("hole")).where("template or hole")
+    listed = lambda kind: F.array_sort(F.collect_list(F.when(kind, F.col("place"))))
+    return back.groupBy("host").agg(listed(F.col("template")).alias("template"), listed(F.col("hole") & ~F.col("template")).alias("hole"))
+
+
+def main_text(text: str, template: set[str] = frozenset(), hole: set[str] = frozenset()) -> str:
+    """The main text of a page, given the places of its host that are template or template with a hole."""
     if not text:
         return ""
     _, blocks = parse(text)
-    slot = [b for b in blocks if not b[0].skipped and not any(n.skipped for n in b[2]) and b[0].path not in constant]
-    inside = [b for b in slot if any(n.main for n in b[2])]
-    return "\n\n".join(b for _, b, _ in inside or slot)
+    inside = region(blocks)
+    if template or hole:
+        at = {id(b): p for b, p in zip(blocks, placed(blocks), strict=True)}
+        gone = template if inside and inside[0].main else template | hole
+        slot = [b for b in inside if not any(p in gone for p in at[id(b)])]
+        whole, left = (sum(len(b.text) for b in x) for x in (inside, slot))
+        if whole - left <= max(COPIED, left):
+            inside = slot
+    return "\n\n".join(b.text for b in inside)
 
 
 def pages_with_hosts(pages: DataFrame) -> DataFrame:
@@ -285,24 +421,24 @@ def pages_with_hosts(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
 
 
-def extract(pages: DataFrame, min_pages: int = 20) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = 5) -> DataFrame:
     """page_id, url, text, n_chars for every row of pages (page_id, url, html)."""
     rows = pages_with_hosts(pages)
-    templates = common.stored(induce(slots(rows), min_pages), "constants")  # apart from the pages, whose hot hosts the join can then split
+    templates = common.stored(induce(slots(rows), min_pages), "templates")  # apart from the pages, whose hot hosts the join can then split
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, set] = {}
+        known: dict[str, tuple[set, set]] = {}
         for batch in batches:
-            texts, constants = [], batch.column("constant")
+            texts, template, hole = [], batch.column("template"), batch.column("hole")
             for k, (host, page) in enumerate(zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True)):
                 if host not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[host] = set(constants[k].as_py() or ())
-                texts.append(main_text(page, known[host]))
+                    known[host] = set(template[k].as_py() or ()), set(hole[k].as_py() or ())
+                texts.append(main_text(page, *known[host]))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    joined = rows.join(templates, "host", "left").select("page_id", "url", "html", "host", "constant")
+    joined = rows.join(templates, "host", "left").select("page_id", "url", "html", "host", "template", "hole")
     out = joined.mapInArrow(run, "page_id long, url string, text string")
     return out.withColumn("n_chars", F.length("text").cast("long"))
 

@@ -27,9 +27,9 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="<p>no</p>";<
 
 
 def test_main_text(spark):
-    rows = [(k, f"http://h.example/{k}", PAGE.format(k=k)) for k in range(30)] + [
+    rows = [(k, f"http://h{k // 4}.example/{k}", PAGE.format(k=k)) for k in range(30)] + [
         (100, None, None), (101, "x", ""), (102, "http://h.example/x", "plain & simple text"), (103, "http://one.example/", "<div><p>only</p></div><div><p>some longer content here</p></div>"),
-        (104, "http://h.example/4", PAGE.format(k=4)), (105, "http://big.example/", "<article><p>" + "w " * 50_000 + "</p></article>"), (106, "http://n.example/", "<div>" * 3000 + "deep" + "</div>" * 3000),
+        (104, "http://h1.example/4", PAGE.format(k=4)), (105, "http://big.example/", "<article><p>" + "w " * 50_000 + "</p></article>"), (106, "http://n.example/", "<div>" * 3000 + "deep" + "</div>" * 3000),
     ]
     got = {r["page_id"]: r for r in wrapper.extract(pages(spark, rows)).collect()}
     assert len(got) == len(rows)
@@ -41,6 +41,13 @@ def test_main_text(spark):
     assert wrapper.extract(pages(spark, [])).collect() == []
 
 
+def test_near_copies_keep_their_text(spark):
+    """Pages of one host that differ in a word are copies, not one template around a word."""
+    html = "<article><h1>Head</h1><p>{k}</p><p>" + "long and equal " * 50 + "</p></article>"
+    got = wrapper.extract(pages(spark, [(k, f"http://h.example/{k}", html.format(k=k)) for k in range(12)])).collect()
+    assert {r["text"] for r in got} == {f"Head\n\n{k}\n\n" + ("long and equal " * 50).strip() for k in range(12)}
+
+
 def test_constant_nodes_become_template(spark):
     """A node that says the same on every page of its host is dropped, whatever its markup says."""
     html = "<article><h1>{k}</h1><div class=box><p>Follow our channel for updates</p></div><p>Body {k}</p></article>"
@@ -62,13 +69,13 @@ def test_constant_nodes_become_template(spark):
     ],
 )
 def test_markup(html, want):
-    assert wrapper.main_text(html, set()) == want
+    assert wrapper.main_text(html) == want
 
 
 def test_pages_without_article_keep_every_slot():
     long, nav = "most of the text " * 50, "<nav>menu</nav>"
     html = f"<body>{nav}<h1>Title</h1><p class=lead>Lead</p><div class=story><p>{long}</p></div><div class=more><p>The end</p></div></body>"
-    assert wrapper.main_text(html, set()) == "\n\n".join(["Title", "Lead", long.strip(), "The end"])
+    assert wrapper.main_text(html) == "\n\n".join(["Title", "Lead", long.strip(), "The end"])
 
 
 def test_copies_are_no_template(spark):
@@ -82,7 +89,80 @@ def test_layouts_in_small_groups(spark):
     rows = [(k, f"http://h.example/{k}", f"<article><h1>{k}</h1><div class=box>Always the same</div>" + f"<div class=v{k}>own {k}</div></article>") for k in range(40)]
     found = wrapper.slots(wrapper.pages_with_hosts(pages(spark, rows)))
     one, many = (wrapper.induce(found, 20, n).collect() for n in (200, 3))
-    assert [r["constant"] for r in one] == [r["constant"] for r in many] == [["/article^/div.box"]]
+    assert [r["template"] for r in one] == [r["template"] for r in many] == [["/article^/div.box#-1", "/article^/div.box#1"]]
+
+
+def test_repeated_siblings_are_places(spark):
+    """A constant paragraph beside varying ones goes, from either end, whatever the number of paragraphs; a sentence that only many pages share stays."""
+    html = lambda k: "<article><p>Welcome to our site</p>" + f"<p>Body {k} {{}}</p>" * (1 + k % 4) + ("<p>Often said.</p>" if k % 5 else "") + f"<p>More {k}</p><p>Follow our channel for updates</p></article>"
+    rows = [(k, f"http://h.example/{k}", html(k)) for k in range(40)]
+    got = {r["page_id"]: r["text"] for r in wrapper.extract(pages(spark, rows)).collect()}
+    for k in range(40):
+        assert got[k] == "\n\n".join([f"Body {k} {{}}"] * (1 + k % 4) + ["Often said."] * (k % 5 > 0) + [f"More {k}"])
+
+
+def test_holes_and_navigation_go_without_article(spark):
+    """Fixed words around a varying part, and blocks of links, are template where no article bounds the content."""
+    html = "<body><div class=x>Shop of the town number {k}</div><div class=y><a href=a>one {k}</a> <a href=b>two {k}</a></div><h1>Title {k}</h1><div class=t><p>{k} is what this page tells at length, and more {k}.</p></div><div>All rights at {k} reserved by us all</div></body>"
+    rows = [(k, f"http://h.example/{k}", html.format(k=k)) for k in range(12)] + [(50 + k, f"http://small.example/{k}", html.format(k=k)) for k in range(3)]
+    got = {r["page_id"]: r["text"] for r in wrapper.extract(pages(spark, rows)).collect()}
+    assert got[3] == "Title 3\n\n3 is what this page tells at length, and more 3." and got[51].startswith("Shop of the town number 1\n\none 1 two 1\n\nTitle 1")
+
+
+def brute_places(rows, min_pages):
+    """Template places by their definition: every place of every page of a host, compared as texts."""
+    said, mains = {}, {}
+    for _, url, html in rows:
+        host = host_model(url)[0]
+        _, blocks = wrapper.parse(html or "")
+        shown = [b for b in blocks if not b.skipped]
+        main = "\n".join(b.text for b in ([b for b in shown if b.main] or shown))
+        by = {}
+        for b in blocks:
+            by.setdefault(b.path, []).append(b.text)
+        for path, texts in by.items():
+            for k, t in enumerate(texts):
+                for name in {k + 1, k - len(texts)} & {1, 2, 3, -1, -2, -3}:
+                    said.setdefault((host, f"{path}#{name}"), set()).add(t)
+                    mains.setdefault((host, f"{path}#{name}"), set()).add(main)
+    return {k for k, v in said.items() if len(v) == 1 and len(mains[k]) >= min_pages}
+
+
+def test_template_equals_brute_force(spark):
+    """Every page of the smallest tables, with a host of many templates."""
+    rows = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    rows += [(9000 + k, f"http://t.example/{k}", f"<nav>Home</nav><article><h2>Part</h2><p>{k}</p><p>{k % 3}</p><p>End</p></article><footer>us</footer>") for k in range(9)]
+    want = brute_places(rows, 5)
+    got = {(r["host"], p) for r in wrapper.induce(wrapper.slots(wrapper.pages_with_hosts(pages(spark, rows))), 5).collect() for p in r["template"]}
+    assert got == want and len([p for h, p in got if h == "t.example"]) >= 4
+    found = {r["page_id"]: r["text"] for r in wrapper.extract(pages(spark, rows)).collect()}
+    for i, url, html in rows:
+        own = {p for h, p in want if h == host_model(url)[0]}
+        if i < 9000:
+            assert found[i] == wrapper.main_text(html, own)
+        else:
+            assert found[i] == f"{i - 9000}\n\n{(i - 9000) % 3}"
+
+
+@pytest.mark.parametrize(
+    "html",
+    ["<div>x" * 40_000, "</i>x" * 100_000, "<b><i>" * 20_000 + "</u></b>x" * 20_000, "<a " * 100_000, '<a b=">"' * 60_000, "<b>" * 20_000 + "<div></div>x" * 20_000, "".join(f"<p class=c{k}>x</p>" for k in range(20_000)), "<!--" * 100_000, "&#" + "9" * 200_000 + ";x", "<td>" * 60_000 + "x", "<svg/>x" * 60_000],
+)
+def test_parsing_is_linear(html):
+    import time
+
+    began = time.process_time()
+    root, _ = wrapper.parse(html)
+    wrapper.layout(root)
+    assert time.process_time() - began < 5
+
+
+def test_matching_of_long_sibling_lists():
+    import time
+
+    began = time.process_time()
+    a, b = (["", [[f"p{k * step}", []] for k in range(5000)]] for step in (1, 2))
+    assert wrapper.matching(a, b)[0] == 2501 and time.process_time() - began < 5
 
 
 def test_tree_matching():
