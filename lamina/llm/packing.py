@@ -2,7 +2,8 @@
 
 A bin has three capacities: tokens, documents and attention cost (the sum of squared piece
 lengths). A piece goes to the feasible bin with the smallest weighted norm of what remains
-(or the largest weighted dot product of demand and remainder), longest pieces first.
+(or the largest weighted dot product of demand and remainder), longest pieces first. Of equal
+norms the bin class that was opened first wins, so a plan depends on the counts alone.
 
 The plan is made on the histogram of lengths, not on the pieces: bins of equal remainder are
 one class that holds ranges of bin numbers, and a step places a whole run of equal lengths.
@@ -61,7 +62,7 @@ def plan(
     capacity: int = CAPACITY,
     max_documents: int = CAPACITY,
     max_attention: int = CAPACITY**2,
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
+    weights: tuple[float, float, float] = (1.0, 0.1, 0.1),
     rule: str = "norm",
 ) -> np.ndarray:
     """Rows (length, first rank, end rank, first bin, pieces of that length per bin, offset), by length and rank.

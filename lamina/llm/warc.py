@@ -51,14 +51,15 @@ def key_of(name: str) -> int | None:
     return int(name.rpartition(":")[2]) if name[-1] != ":" else None
 
 
-def record(key: int | None, url: str, payload: bytes, refers_to: int | None) -> bytes:
-    """One WARC/1.1 record; refers_to: the response's key for a revisit."""
+def record(key: int | None, url: str, payload: bytes, refers_to: int | None, sha: bytes | None = None, size: int | None = None) -> bytes:
+    """One WARC/1.1 record; refers_to: the response's key for a revisit, whose full payload has the given digest and size."""
     kind = "response" if refers_to is None else "revisit"
     block = payload if refers_to is None else b""
+    named = digest(payload) if sha is None else base64.b32encode(sha).decode()
     target = "".join(c if c > " " else f"%{ord(c):02X}" for c in url)
     lines = [
         "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{record_id(key)}>", "WARC-Date: 2020-01-01T00:00:00Z",
-        f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha1:{digest(payload)}", f"X-Payload-Length: {len(payload)}",
+        f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha1:{named}", f"X-Payload-Length: {len(payload) if size is None else size}",
     ]
     if refers_to is not None:
         lines += [f"WARC-Refers-To: <{record_id(refers_to)}>", f"WARC-Profile: {REVISIT_PROFILE}"]
@@ -132,7 +133,7 @@ class Reader:
 
 
 def write_bundles(rows: DataFrame, bundle_bytes: int = 1 << 25, frame_bytes: int = 1 << 18, level: int = 3) -> DataFrame:
-    """rows (key, url, payload, refers_to) -> BUNDLE rows of at most about bundle_bytes of records each."""
+    """rows (key, url, payload, refers_to, sha, size) -> BUNDLE rows of at most about bundle_bytes of records each."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made, size, bundle = TaskContext.get().partitionId(), 0, 0, Bundle(frame_bytes, level)
@@ -145,8 +146,8 @@ def write_bundles(rows: DataFrame, bundle_bytes: int = 1 << 25, frame_bytes: int
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["bundle_id", "archive", "record_ids", "frames", "offsets"])
 
         for batch in batches:
-            for key, url, payload, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = record(key, url or "", (payload or "").encode(), refers)
+            for key, url, payload, refers, sha, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                data = record(key, url or "", (payload or "").encode(), refers, *((sha, length) if refers is not None else ()))
                 bundle.add(record_id(key), data)
                 size += len(data)
                 if size >= bundle_bytes:
@@ -155,7 +156,7 @@ def write_bundles(rows: DataFrame, bundle_bytes: int = 1 << 25, frame_bytes: int
         if bundle.ids:
             yield row()
 
-    return rows.select("key", "url", "payload", "refers_to").mapInArrow(pack, BUNDLE)
+    return rows.select("key", "url", "payload", "refers_to", "sha", "size").mapInArrow(pack, BUNDLE)
 
 
 def read_bundles(bundles: DataFrame) -> DataFrame:
@@ -183,17 +184,29 @@ def read_bundles(bundles: DataFrame) -> DataFrame:
     return bundles.mapInArrow(unpack, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
-def with_revisits(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", min_revisit: int = 0) -> DataFrame:
-    """key, url, payload, refers_to.
+def with_revisits(
+    pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", min_revisit: int = 0, broadcast_rows: int = 200_000, salts: int = 32
+) -> DataFrame:
+    """key, url, payload (null for revisits), refers_to, sha, size (both of the full payload).
 
-    The first key of each digest comes from a partially aggregated group-by of digests; rows
-    meet it in an equi-join whose hot digests adaptive execution splits.
+    Only digests are grouped, and only those of several keys are kept. Up to `broadcast_rows`
+    of these, which is counted first, they are broadcast, so payloads are written where they are
+    read. Beyond that rows meet them in an equi-join on digest and a salt of the key, so that
+    no digest's rows meet in one task. Both give the same rows.
     """
     text = F.coalesce(F.col(payload), F.lit(""))
-    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), text.alias("payload")).withColumn("sha", F.sha1(F.encode("payload", "utf-8")))
-    firsts = pages.select(F.col(key).alias("key"), F.sha1(F.encode(text, "utf-8")).alias("sha")).groupBy("sha").agg(F.min("key").alias("first"))
-    other = (F.octet_length("payload") >= min_revisit) & (F.col("key") != F.col("first"))
-    return rows.join(firsts, "sha").select("key", "url", "payload", F.when(other, F.col("first")).alias("refers_to"))
+    sha = F.unhex(F.sha1(F.encode(text, "utf-8")))
+    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), text.alias("payload"), sha.alias("sha"), F.octet_length(text).cast("long").alias("size"))
+    named = rows.select("key", "sha").where("key is not null").groupBy("sha").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    several = common.stored(named.where("first <> last").select("sha", "first"), "digests")
+    if several.count() <= broadcast_rows:
+        joined = rows.join(F.broadcast(several), "sha", "left")
+    else:
+        salted = several.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        joined = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int")).join(salted, ["sha", "salt"], "left")
+    other = (F.col("size") >= min_revisit) & (F.col("key") != F.col("first"))
+    refers = F.when(other, F.col("first"))
+    return joined.select("key", "url", F.when(refers.isNull(), F.col("payload")).alias("payload"), refers.alias("refers_to"), "sha", "size")
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

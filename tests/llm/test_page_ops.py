@@ -179,9 +179,10 @@ def test_tree_matching():
 # --- WARC -------------------------------------------------------------------------------------
 
 
-def test_warc(spark):
+@pytest.mark.parametrize("broadcast_rows", [100, 0])
+def test_warc(spark, broadcast_rows):
     rows = [(5, "http://a/ b", "same"), (3, None, "same"), (9, "u", "same"), (1, "u", None), (2, "u", ""), (4, "u", "ü" * 400_000), (7, "u", "x\r\n\r\nWARC/1.1"), (None, "u", "n"), (11, "u", "o"), (11, "u", "o")]
-    bundles = warc.write_bundles(warc.with_revisits(pages(spark, rows)), bundle_bytes=200_000, frame_bytes=1000)
+    bundles = warc.write_bundles(warc.with_revisits(pages(spark, rows), broadcast_rows=broadcast_rows), bundle_bytes=200_000, frame_bytes=1000)
     got = sorted(warc.read_bundles(bundles).collect(), key=str)
     assert len(got) == len(rows)
     by = {r["page_id"]: r for r in got}

@@ -290,6 +290,53 @@ def test_plan_keeps_every_capacity(rule):
         packing.plan({101: 1}, 100)
 
 
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_weights_of_all_residuals_cost_no_sequence(spark, rule):
+    """Documents and attention cost weigh in the choice; the number of sequences stays the least possible."""
+    path = tokens.vocabulary("word_bpe_49k.json")
+    words, counts, total = tokens.words_of(path), defaultdict(int), 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect():
+        n = len(tokens.lower_ids(r["text"] or "", words)) // 4 + 1
+        total += n
+        for k in range(0, n, 2048):
+            counts[min(2048, n - k)] += 1
+    bins = lambda steps: max(s[3] + -(-(s[2] - s[1]) // s[4]) for s in steps.tolist())
+    one, all_, default = packing.plan(counts, weights=(1.0, 0.0, 0.0), rule=rule), packing.plan(counts, weights=(1.0, 1.0, 1.0), rule=rule), packing.plan(counts, rule=rule)
+    assert bins(one) == bins(all_) == bins(default) == -(-total // 2048)
+    assert one.tolist() != all_.tolist()
+
+
+def model_plan(lengths, capacity, max_documents, max_attention, w):
+    """Vector best-fit piece by piece over open bins, by its definition: residuals of each bin."""
+    bins = []
+    for n in sorted(lengths, reverse=True):
+        best, at = None, None
+        for k, (t, d, a) in enumerate(bins):
+            if n <= t and d >= 1 and n * n <= a:
+                norm = w[0] * ((t - n) / capacity) ** 2 + w[1] * ((d - 1) / max_documents) ** 2 + w[2] * ((a - n * n) / max_attention) ** 2
+                if best is None or norm < best - 1e-15:
+                    best, at = norm, k
+        if at is None:
+            bins.append((capacity, max_documents, max_attention))
+            at = len(bins) - 1
+        t, d, a = bins[at]
+        bins[at] = (t - n, d - 1, a - n * n)
+    return bins
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_packs_as_tightly_as_piece_by_piece(seed):
+    """The plan on the histogram, which opens bins for a whole run of equal lengths, against the piecewise rule."""
+    rng = np.random.default_rng(seed)
+    lengths = rng.integers(1, 100, 400).tolist()
+    counts, caps, w = defaultdict(int), (100, 8, 9990), (1.0, 0.3, 0.3)
+    for n in lengths:
+        counts[n] += 1
+    steps = packing.plan(counts, *caps, w)
+    bins = max(s[3] + -(-(s[2] - s[1]) // s[4]) for s in steps.tolist())
+    assert bins <= 1.05 * len(model_plan(lengths, *caps, w)) + 1
+
+
 # --- quality ----------------------------------------------------------------------------------
 
 
