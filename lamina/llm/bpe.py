@@ -8,8 +8,10 @@ numbers, and ids are joined back by position. Decoding joins ids with the piece
 size is that of the vocabulary.
 
 No word is a key of many rows: a block names it once, whatever its frequency. Blocks are
-found twice, once for words and once for numbers; their key holds a digest of their ids, and
-a block without all its answers raises an error.
+found twice, once for words and once for numbers; their key is a digest of their ids and
+texts, so it does not hang on where or when a block is read, and rows that come out of a shuffle, whose
+order may change when it is fetched again, are sorted within their partitions first. A block
+without all its answers raises an error.
 
 Defined edge cases: a null text counts as empty and has no ids; strings of special tokens in
 a text get the special id, as the library does; long texts are never cut; equal texts get
@@ -27,7 +29,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,23 +81,28 @@ def bucket(word: bytes, buckets: int) -> int:
     return zlib.crc32(word) % buckets
 
 
-def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[int], list[str]]]:
-    """(key, doc ids, texts) of runs of about BLOCK_CHARS characters."""
-    part, n, size, ids, texts = TaskContext.get().partitionId(), 0, 0, [], []
+def steady(docs: DataFrame) -> DataFrame:
+    """doc_id and text in an order that a second reading repeats: that of the files, or sorted within partitions after a shuffle."""
+    rows = docs.select("doc_id", "text")
+    shuffled = "Exchange" in rows._jdf.queryExecution().executedPlan().toString()
+    return rows.sortWithinPartitions("doc_id", "text") if shuffled else rows
 
-    def key() -> str:
-        return f"{part}-{n}-{zlib.crc32(repr(ids).encode())}"
 
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[int], list[str]]]:
+    """(key, doc ids, texts) of runs of about BLOCK_CHARS characters; blocks of equal ids and texts have equal keys."""
+    size, ids, texts, key = 0, [], [], hashlib.blake2b(digest_size=16)
     for batch in batches:
         for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             ids.append(doc)
             texts.append(text or "")
+            key.update(f"{doc} {len(texts[-1])} ".encode())
+            key.update(texts[-1].encode("utf-8", "surrogatepass"))
             size += len(texts[-1])
             if size >= BLOCK_CHARS:
-                yield key(), ids, texts
-                n, size, ids, texts = n + 1, 0, [], []
+                yield key.hexdigest(), ids, texts
+                size, ids, texts, key = 0, [], [], hashlib.blake2b(digest_size=16)
     if ids:
-        yield key(), ids, texts
+        yield key.hexdigest(), ids, texts
 
 
 def distinct_words(docs: DataFrame, path: str, buckets: int) -> DataFrame:
@@ -116,7 +122,7 @@ def distinct_words(docs: DataFrame, path: str, buckets: int) -> DataFrame:
             arrays = [pa.array([key] * len(rows)), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["block", "bucket", "words"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "block string, bucket int, words binary")
+    return docs.mapInArrow(run, "block string, bucket int, words binary")
 
 
 def numbered_texts(docs: DataFrame, path: str, buckets: int) -> DataFrame:
@@ -135,7 +141,7 @@ def numbered_texts(docs: DataFrame, path: str, buckets: int) -> DataFrame:
             data = pack(*named, np.array([len(p) for p in parts]), whole, places)
             yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([data], pa.binary())], ["block", "texts"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "block string, texts binary")
+    return docs.mapInArrow(run, "block string, texts binary")
 
 
 def encoded_words(words: DataFrame, path: str) -> DataFrame:
@@ -173,7 +179,7 @@ def pieces(path: str) -> list[bytes]:
 
 def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
     """RESULT rows of docs (doc_id, text)."""
-    buckets = bucket_count(docs.sparkSession)
+    buckets, docs = bucket_count(docs.sparkSession), steady(docs)
     answers = encoded_words(distinct_words(docs, path, buckets), path).groupBy("block").agg(F.collect_list(F.struct("bucket", "ids")).alias("answers"))
     joined = numbered_texts(docs, path, buckets).join(answers, "block", "left").select("texts", "answers")
 
@@ -188,8 +194,11 @@ def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
                 words: list[tuple[bytes, bytes]] = [(b"", b"")] * len(places)
                 order = np.argsort(places, kind="stable")
                 first = np.searchsorted(places[order], np.arange(buckets + 1))
-                answered = 0
+                answered, seen = 0, set()
                 for a in batch.column("answers")[k].as_py() or ():
+                    if a["bucket"] in seen:  # blocks of equal ids and texts share a key and their answers
+                        continue
+                    seen.add(a["bucket"])
                     many, ids = map(ints, unpack(a["ids"]))
                     mine = order[first[a["bucket"]] : first[a["bucket"] + 1]]
                     if len(mine) != len(many):

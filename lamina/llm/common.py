@@ -20,14 +20,34 @@ def own_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or an own one where unset (tests)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or own_dir()).rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir, or the one that the context was given.
+
+    Only a local session may go without one; it gets an own folder.
+    """
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
+        path = own_dir()
+    return path.rstrip("/")
+
+
+@cache
+def run_dir(app: str, shared: str) -> str:
+    """This application's part of the shared folder, which goes when the driver ends."""
+    spark = SparkSession.getActiveSession()
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared}/lamina-{app}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{shared}/lamina-{app}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written once to the shared folder and read back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark.sparkContext.applicationId, shared_dir(spark))}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

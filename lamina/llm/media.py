@@ -189,19 +189,53 @@ def describe(found: dict) -> str:
     )
 
 
-def store_and_read(docs: DataFrame) -> DataFrame:
-    """SCHEMA rows of docs (doc_id, text): each text stored as a transport stream and read back."""
+STORED = "doc_id long, n_bytes long, media binary"
+
+
+def store(docs: DataFrame) -> DataFrame:
+    """STORED rows of docs (doc_id, text): each text's bytes, padded, as a transport stream; n_bytes is their number without padding."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
+            for k in range(0, len(data), ROWS):
+                part = data[k : k + ROWS]
+                media = pa.array([mux(padded(d)) for d in part], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(k, ROWS), pa.array([len(d) for d in part], pa.int64()), media], ["doc_id", "n_bytes", "media"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, STORED)
+
+
+#: Streams in a batch, which keeps batches small where texts are long.
+ROWS = 256
+
+
+def read(rows: DataFrame, media: str = "media", key: str = "doc_id") -> DataFrame:
+    """key, payload, pts, random_access, packets, cc_errors, bad of a column of any transport streams; a null stream is an empty one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [demux(m or b"") for m in batch.column(1).to_pylist()]
+            cols = [pa.array([f[n] for f in found], t) for n, t in zip(names, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], [key, *names])
+
+    names = ["payload", "pts", "random_access", "packets", "cc_errors", "bad"]
+    kinds = [pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64()]
+    schema = "payload binary, pts array<long>, random_access array<long>, packets long, cc_errors long, bad long"
+    return rows.select(key, media).mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, {schema}")
+
+
+def digested(stored: DataFrame) -> DataFrame:
+    """SCHEMA rows of STORED rows: every stream read back and described."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = (text or "").encode("utf-8", "surrogatepass")
-                media = mux(padded(data))
+            for doc, size, media in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = demux(media)
                 back = found["payload"]
                 out.append((
-                    doc, len(data), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media),
+                    doc, size, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media),
                     hashlib.sha256(media).hexdigest(), describe(found), found["pts"], found["random_access"],
                 ))
             kinds = [pa.int64()] * 3 + [pa.string()] + [pa.int64()] * 2 + [pa.string()] * 2 + [pa.list_(pa.int64())] * 2
@@ -209,7 +243,12 @@ def store_and_read(docs: DataFrame) -> DataFrame:
             cols = zip(*out, strict=True) if out else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return stored.mapInArrow(run, SCHEMA)
+
+
+def store_and_read(docs: DataFrame) -> DataFrame:
+    """SCHEMA rows of docs (doc_id, text): each text stored as a transport stream and read back; edge cases as above."""
+    return digested(store(docs))
 
 
 def op2_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

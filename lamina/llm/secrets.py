@@ -145,7 +145,10 @@ def redact_text(text: str, spans: list[tuple[int, int, int]], mark: str) -> str:
 
 
 def redact(docs: DataFrame, path: str, max_ratio: float = 2.2, mark: str = "[SECRET]") -> DataFrame:
-    """docs with found spans replaced by mark in text; n_chars, where present, follows the new text."""
+    """docs with found spans replaced by mark in text; n_chars, where present, follows the new text.
+
+    Overlapping spans become one mark; a null text stays null; all rows and columns are kept.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

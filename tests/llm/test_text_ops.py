@@ -192,6 +192,17 @@ def test_stream_round_trip(spark):
     assert got[3].asDict() | {"doc_id": 0} == got[4].asDict() | {"doc_id": 0}
 
 
+def test_stored_streams_are_a_column(spark, tmp_path):
+    """Streams written as a column and read again give payloads, time stamps and random-access points."""
+    media.store(docs(spark, EDGES)).write.parquet(str(tmp_path / "m"))
+    stored = spark.read.parquet(str(tmp_path / "m"))
+    got = rows_of(media.read(stored.union(spark.createDataFrame([(99, 0, None)], stored.schema))))
+    for i, t in enumerate(EDGES):
+        assert bytes(got[i]["payload"]) == media.padded((t or "").encode()) and got[i]["cc_errors"] == got[i]["bad"] == 0
+        assert got[i]["pts"] == [k * media.TICKS for k in range(len(got[i]["pts"]))] and got[i]["random_access"][0] == 2 * media.PACKET
+    assert bytes(got[99]["payload"]) == b"" and got[99]["packets"] == 0
+
+
 @pytest.mark.parametrize("size", [*range(64, 800, 64), 8192, 8256, 20_032])
 def test_every_size(size):
     data = np.random.default_rng(size).integers(0, 256, size, np.uint8).tobytes()
@@ -228,7 +239,6 @@ def test_bpe_equals_the_library(spark):
 def test_bpe_null_ids_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(bpe, "BLOCK_CHARS", 10)
     batches = [bpe.pa.RecordBatch.from_pydict({"doc_id": [1, None, 3], "text": ["a" * 12, None, "b"]})]
-    monkeypatch.setattr(bpe.TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": lambda self: 0})()))
     assert [(ids, t) for _, ids, t in bpe.blocks_of(iter(batches))] == [([1], ["a" * 12]), ([None, 3], ["", "b"])]
     data = np.array([0, 1, 70_000, 2**31], np.int64)
     assert bpe.ints(bpe.unpack(bpe.pack(data, b"xyz"))[0]).tolist() == data.tolist()
@@ -236,6 +246,18 @@ def test_bpe_null_ids_and_blocks(spark, monkeypatch):
     assert {r["doc_id"] for r in got.collect()} == {None, 2}
 
 
+def test_bpe_blocks_do_not_hang_on_their_place(spark, monkeypatch):
+    """Blocks are named by what they hold: equal blocks in several partitions, and shuffled rows, give whole results."""
+    rows = [(k % 3, f"text {k % 3} of some words") for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    path = tokens.vocabulary("byte_bpe_50k.json")
+    want = [len(tokens.load(path).encode(t).ids) for _, t in rows]
+    for own in (df.repartition(10), df.coalesce(1), spark.createDataFrame(rows[:3] * 10, df.schema).repartition(5, "doc_id")):
+        assert sorted(r["n_tokens"] for r in bpe.encode_and_decode(own, path).collect()) == sorted(want)
+    key = lambda x: [k for k, _, _ in bpe.blocks_of(iter([bpe.pa.RecordBatch.from_pydict(x)]))]
+    assert key({"doc_id": [1, 2], "text": ["ab", None]}) == key({"doc_id": [1, 2], "text": ["ab", ""]}) != key({"doc_id": [1, 2], "text": ["a", "b"]})
+
+
 # --- packing ----------------------------------------------------------------------------------
 
 
@@ -366,6 +388,51 @@ def test_quality_ignores_held_out_labels_and_edges(spark):
     assert quality.score(docs(spark, []), a).collect() == []
 
 
+def plain_features(text):
+    """The features by their definition, character by character."""
+    words, lines = text.split(), [x for x in text.split("\n") if x.strip()]
+    n, w, m = max(len(text), 1), max(len(words), 1), max(len(lines), 1)
+    of = lambda test: sum(map(test, text))
+    lower, upper, digits = of(lambda c: "a" <= c <= "z"), of(lambda c: "A" <= c <= "Z"), of(lambda c: "0" <= c <= "9")
+    wide, space = of(lambda c: ord(c) > 127), of(lambda c: c in " \t\n\r")
+    kinds, log = len(set(words)), np.log1p
+    share = lambda marks: sum(text.count(c) for c in marks) / w
+    return [
+        log(len(text)), log(len(words)), (len(text) - space) / w, kinds / w, log(kinds) / log(w), len(set(zip(words, words[1:]))) / w, lower / n, upper / n, digits / n, wide / n,
+        (len(text) - lower - upper - digits - wide - space) / n, space / n, len(set(lines)) / m, log(n / m), share("."), share(","), share("!"), share("|"), share("#$%&*"), share("\n"),
+        sum(x.isupper() for x in words) / w, kinds / w * log(w),
+    ]
+
+
+def test_quality_equals_brute_force(spark):
+    """Scores from features counted one by one and weights found by plain gradient descent on the same pairwise loss."""
+    sf = "/root/testdata/sf0.001"
+    docs_ = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r["quality"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 and r["doc_id"] in docs_}
+    x = {d: np.array(plain_features(t), float) for d, t in docs_.items()}
+    ids = sorted(labels)
+    m = np.array([x[d] for d in ids])
+    mean, scale = m.mean(axis=0), m.std(axis=0)
+    scale[scale <= 1e-9] = 1
+    design = {d: np.concatenate([z := np.clip((v - mean) / scale, -6, 6), z * z]) for d, v in x.items()}
+    rng, good = np.random.default_rng(7), np.array([labels[d] for d in ids])
+    one, two = rng.choice(np.flatnonzero(good == 1), 40_000), rng.choice(np.flatnonzero(good == 0), 40_000)
+    z = np.array([design[d] for d in ids])
+    pairs = z[one] - z[two]
+    w, look, step = np.zeros(44), np.zeros(44), 1 / (1e-2 + np.linalg.eigvalsh(pairs.T @ pairs / len(pairs))[-1] / 4)
+    for k in range(3000):  # accelerated descent
+        grad = -(pairs / (1 + np.exp(np.clip(pairs @ look, -30, 30)))[:, None]).mean(axis=0) + 1e-2 * look
+        new = look - step * grad
+        w, look = new, new + k / (k + 3) * (new - w)
+    raw = np.array([design[d] @ w for d in ids])
+    at, spread = np.quantile(raw, (good == 0).mean()), np.median(raw[good == 1]) - np.median(raw[good == 0])
+    got = {r["doc_id"]: r for r in quality.op6_quality(spark, sf).collect()}
+    assert set(got) == set(docs_)
+    for d in docs_:
+        want = 1 / (1 + 7 / 3 * np.exp(-6 / spread * (design[d] @ w - at)))
+        assert abs(got[d]["score"] - want) < 0.01 and (got[d]["predicted"] == (want >= 0.3) or abs(want - 0.3) < 0.01), d
+
+
 # --- null ids and empty tables ------------------------------------------------------------------
 
 
