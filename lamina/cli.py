@@ -1,7 +1,7 @@
 """Command line: documents from recorded answers, for one document or a folder of them.
 
 python -m lamina.cli process --pages P --answers A --output O [--doc ID] [--preset NAME | --config FILE]
-python -m lamina.cli batch --pages P --answers A --output O [--resume]
+python -m lamina.cli batch --pages P --answers A --output O [--resume] [--buckets N]
 python -m lamina.cli query NAME --data DIR [--output O]
 """
 
@@ -11,11 +11,13 @@ import argparse
 import sys
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import config, pipeline
-from .sources import sinks
+from .operators import quality
+from .session import ship
+from .sources import files, sinks
 
 
 def parser() -> argparse.ArgumentParser:
@@ -29,7 +31,11 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--config")
         p.add_argument("--device")
         p.add_argument("--dtype")
-        p.add_argument("--doc", type=int) if name == "process" else p.add_argument("--resume", action="store_true")
+        if name == "process":
+            p.add_argument("--doc", type=int)
+        else:
+            p.add_argument("--resume", action="store_true")
+            p.add_argument("--buckets", type=int, help="Parquet in so many folders instead of a folder per document")
     q = sub.add_parser("query")
     q.add_argument("name")
     q.add_argument("--data", required=True)
@@ -42,10 +48,41 @@ def settings(args: argparse.Namespace) -> config.Settings:
     return config.replace(config.load(args.config, args.preset), **own).validate()
 
 
+def failures(pages: DataFrame) -> DataFrame:
+    """doc_id, error of documents with a page that could not be rendered or has no markup."""
+    told = F.col("error") if "error" in pages.columns else F.lit(None).cast("string")
+    broken = told.isNotNull() | F.col("raw_response").isNull()
+    return pages.where(broken).groupBy("doc_id").agg(F.min(F.coalesce(told, F.lit("a page has no markup"))).alias("error"))
+
+
+def batch(pages: DataFrame, recorded: DataFrame, output: str, resume: bool, buckets: int | None) -> int:
+    """Writes the documents that are outstanding; a broken one fails alone. 1 when one failed or nothing was to be done."""
+    spark, began = pages.sparkSession, time.time()
+    if resume:
+        try:
+            done = spark.read.parquet(output) if buckets else spark.read.text(output)
+            pages = files.outstanding(pages, done)
+        except Exception as e:  # nothing written yet
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+    failed = failures(pages)
+    results = pages.select("doc_id").distinct().join(failed, "doc_id", "left").select("doc_id", F.when(F.col("error").isNull(), "success").otherwise("failed").alias("status"), "error")
+    results.write.mode("overwrite").parquet(output.rstrip("/") + "_results")
+    results = spark.read.parquet(output.rstrip("/") + "_results")
+    count, broken = results.count(), results.where("status = 'failed'").count()
+    if not count:
+        return 1
+    found = pipeline.documents(pages.join(failed, "doc_id", "left_anti"), recorded)
+    sinks.in_buckets(found, output, buckets) if buckets else sinks.by_document(found, output)
+    timed = results.withColumn("elapsed", F.lit((time.time() - began) / count))  # documents run side by side: each has its share of the batch's time
+    sinks.summary(quality.batch_summary(timed), output.rstrip("/") + "_summary")
+    return int(broken > 0)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     """0, or 1 when a document failed or there was nothing to do."""
     args = parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName("lamina").getOrCreate()
+    spark = ship(spark or SparkSession.builder.appName("lamina").getOrCreate())
     if args.command == "query":
         from .plans import catalog
 
@@ -60,21 +97,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         found = pipeline.documents(pages, recorded.join(pages.select("doc_id").distinct(), "doc_id", "left_semi"))
         sinks.by_document(found, args.output)
         return 0 if not pages.isEmpty() else 1
-    began = time.time()
-    if args.resume:
-        try:
-            pages = pages.join(spark.read.text(args.output).select("doc_id").distinct(), "doc_id", "left_anti")
-        except Exception as e:  # nothing written yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-    if pages.isEmpty():
-        return 1
-    sinks.by_document(pipeline.documents(pages, recorded), args.output)
-    results = pages.select("doc_id").distinct().select(F.lit("success").alias("status"), F.lit(time.time() - began).alias("elapsed"))
-    from .operators import quality
-
-    sinks.summary(quality.batch_summary(results), args.output.rstrip("/") + "_summary")
-    return 0
+    return batch(pages, recorded, args.output, args.resume, args.buckets)
 
 
 if __name__ == "__main__":

@@ -72,7 +72,9 @@ def without_end(response: Column, token: str) -> Column:
 
 
 def parse(responses: DataFrame) -> DataFrame:
-    """doc_id, element_id, element_type, valid, items, keywords, summary, structured_data, raw_response.
+    """doc_id, element_id, element_type, answer_idx, valid, items, keywords, summary, structured_data, raw_response.
+
+    answer_idx, which orders the answers to one element, is kept where there is one.
 
     Only a strict JSON object is valid; any other answer, a bare list too, keeps its raw text
     with empty fields.
@@ -81,7 +83,7 @@ def parse(responses: DataFrame) -> DataFrame:
     a = F.from_json("structured_data", ANSWER)
     empty = F.array().cast("array<string>")
     return rows.select(
-        *[c for c in ("doc_id", "element_id", "element_type") if c in responses.columns],
+        *[c for c in ("doc_id", "element_id", "element_type", "answer_idx") if c in responses.columns],
         F.col("structured_data").isNotNull().alias("valid"),
         F.coalesce(a["items"], empty).alias("items"), F.coalesce(a["keywords"], empty).alias("keywords"), a["summary"].alias("summary"),
         "structured_data", "raw_response",

@@ -13,10 +13,15 @@ def image_id(kind: Column, page: Column, index: Column) -> Column:
     return F.format_string("%s_p%d_e%d", kind, page, index)
 
 
-def latest(analyses: DataFrame, order: str | None = None) -> DataFrame:
-    """One analysis per element: the last by order, where there are several."""
-    if order is None:
-        return analyses.dropDuplicates(["doc_id", "element_id"])
+def latest(analyses: DataFrame, order: str = "answer_idx") -> DataFrame:
+    """One analysis per element: the last by order, where there are several.
+
+    Without such a column several analyses of one element are an error, for none of them is the last.
+    """
+    if order not in analyses.columns:
+        several = F.count(F.lit(1)).over(Window.partitionBy("doc_id", "element_id")) > 1
+        told = F.raise_error(F.concat(F.lit("several answers but no order: "), F.coalesce("element_id", F.lit("null"))))
+        return analyses.withColumn("_one", F.when(several, told).otherwise(F.lit(None).cast("void"))).where("_one is null").drop("_one")
     last = Window.partitionBy("doc_id", "element_id").orderBy(F.desc(order))
     return analyses.withColumn("_nth", F.row_number().over(last)).where("_nth = 1").drop("_nth")
 

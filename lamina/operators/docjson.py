@@ -9,7 +9,20 @@ from ..functions import text
 from . import sections
 
 VERSION, UNKNOWN_VERSION = "1.0.0", "0.0.0"
-BLOCK = "struct<id:string,type:string,doc_index:int,text:string,level:int,page:int>"
+BOX = "struct<x1:double,y1:double,x2:double,y2:double,page:int>"
+COMMON = "keywords:array<string>,summary:string,image_id:string"
+TEXT = "struct<numbering:string,keywords:array<string>,summary:string>"
+TABLE = f"struct<doc_index:int,rows:int,cols:int,data:array<array<string>>,markdown:string,{COMMON},is_complex:boolean>"
+GRAPH = f"struct<title:string,graph_type:string,x_axis:map<string,string>,y_axis:map<string,string>,legend:array<string>,data_trends:array<string>,{COMMON}>"
+DIAGRAM = (
+    "struct<id:string,doc_index:int,diagram_type:string,components:array<struct<id:string,label:string>>,"
+    f"connections:array<struct<`from`:string,`to`:string>>,mermaid:string,{COMMON},is_complex:boolean,bbox:{BOX}>"
+)
+PICTURE = "struct<underlying_type:string,visible_text:string,keywords:array<string>,complexity_reasons:array<string>,summary:string,image_id:string>"
+BLOCK = (
+    f"struct<id:string,type:string,doc_index:int,text:string,level:int,page:int,bbox:{BOX},text_data:{TEXT},"
+    f"table:{TABLE},graph:{GRAPH},diagram:{DIAGRAM},complex_image:{PICTURE}>"
+)
 SECTION = "struct<id:string,number:string,title:string,level:int,doc_index:int,span:array<int>,parent_id:string,block_ids:array<string>,heading_block_id:string>"
 DOCUMENT = f"version string, metadata struct<page_count:int,extra:map<string,string>>, blocks array<{BLOCK}>, sections array<{SECTION}>"
 
@@ -54,6 +67,19 @@ def assemble(blocks: DataFrame, page_counts: DataFrame) -> DataFrame:
     )
 
 
+def element_json(elements: DataFrame) -> DataFrame:
+    """doc_id, element_id, json of every element: its place, type, box, confidence and preview."""
+    own = ["element_id", "element_type", "bbox", "confidence", "text_preview"]
+    return elements.select("doc_id", "element_id", F.to_json(F.struct(*own), {"ignoreNullFields": "false"}).alias("json"))
+
+
+def page_json(elements: DataFrame) -> DataFrame:
+    """doc_id, page_num, json of every page with elements, these in order."""
+    one = F.struct("elem_idx", F.struct("element_id", "element_type", "bbox", "confidence", "text_preview").alias("e"))
+    held = elements.groupBy("doc_id", "page_num").agg(F.array_sort(F.collect_list(one)).alias("held"))
+    return held.select("doc_id", "page_num", F.to_json(F.struct("page_num", F.col("held.e").alias("elements")), {"ignoreNullFields": "false"}).alias("json"))
+
+
 def to_json(documents: DataFrame) -> DataFrame:
     """doc_id, json."""
     return documents.select("doc_id", F.to_json(F.struct("version", "metadata", "blocks", "sections")).alias("json"))

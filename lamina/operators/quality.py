@@ -39,6 +39,26 @@ def preview_quality(elements: DataFrame) -> DataFrame:
     )
 
 
+def preview_lengths(elements: DataFrame) -> DataFrame:
+    """Per type and overall (type null): elements with and without preview, avg, min and max length, 0 where none has one."""
+    size = F.length("text_preview")
+    return elements.rollup("element_type").agg(
+        F.count(F.lit(1)).alias("elements"), F.count("text_preview").alias("with_preview"), F.count_if(F.col("text_preview").isNull()).alias("without_preview"),
+        F.round(F.coalesce(F.avg(size), F.lit(0.0)), 6).alias("avg_length"), F.coalesce(F.min(size), F.lit(0)).alias("min_length"), F.coalesce(F.max(size), F.lit(0)).alias("max_length"),
+    )
+
+
+def label_report(found: DataFrame) -> DataFrame:
+    """label, n, known of rows with label and place (a sortable position), the most frequent first, of equal counts the earliest."""
+    counts = found.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("place"))
+    return counts.withColumn("known", F.col("label").isin(*labels.LABEL_TYPES)).orderBy(F.desc("n"), "place")
+
+
+def type_report(elements: DataFrame) -> DataFrame:
+    """element_type and n, by name."""
+    return elements.groupBy("element_type").agg(F.count(F.lit(1)).alias("n")).orderBy("element_type")
+
+
 def context_quality(contexts: DataFrame) -> DataFrame:
     """Per visual type and overall: elements, avg, min and max context length and its grade."""
     size = F.length("context")

@@ -57,22 +57,44 @@ def with_blocks(blocks: DataFrame) -> DataFrame:
     return tree(blocks).join(held.select("doc_id", "section_id", F.col("held.id").alias("block_ids")), ["doc_id", "section_id"], "left")
 
 
-def spans(blocks: DataFrame) -> DataFrame:
-    """Beyond parity: first and end doc_index of each section with its subsections, by the next heading of its level or above."""
-    rows = headings(blocks)
-    total = blocks.groupBy("doc_id").agg((F.max("doc_index") + 1).alias("end"))
-    after = Window.partitionBy("doc_id").orderBy("doc_index").rowsBetween(1, Window.unboundedFollowing)
-    later = F.collect_list(F.struct(F.col("doc_index").alias("i"), F.col("level").alias("l"))).over(after)
-    rows = rows.withColumn("next", F.array_min(F.transform(F.filter(later, lambda s: s["l"] <= F.col("level")), lambda s: s["i"])))
-    return rows.join(total, "doc_id").select("doc_id", "section_id", "level", F.col("doc_index").alias("span_start"), F.coalesce("next", "end").alias("span_end"))
+def spans(blocks: DataFrame, depth: int = 6) -> DataFrame:
+    """Beyond parity: first and end doc_index of each section with its subsections, by the next heading of its level or above.
+
+    The nearest later heading of every level runs backwards through the document; documents
+    with deeper levels take the exact array form.
+    """
+    doc = Window.partitionBy("doc_id")
+    after = doc.orderBy(F.desc("doc_index")).rowsBetween(Window.unboundedPreceding, -1)
+    heading = is_heading(F.col("type"), F.col("numbering"))
+    rows = blocks.select("doc_id", "doc_index", "id", heading.alias("heading"), F.when(heading, text.depth(F.col("numbering"))).alias("level"))
+    rows = rows.withColumn("end", F.max("doc_index").over(doc) + 1).withColumn("deepest", F.max("level").over(doc)).where("heading")
+    near = rows.where(F.col("deepest") <= depth)
+    later = [F.when(F.col("level") >= k, F.last(F.when(F.col("level") == k, F.col("doc_index")), ignorenulls=True).over(after)) for k in range(1, depth + 1)]
+    near = near.withColumn("next", F.least(*later))
+    far = rows.where(F.col("deepest") > depth)
+    all_later = F.collect_list(F.struct(F.col("doc_index").alias("i"), F.col("level").alias("l"))).over(after)
+    far = far.withColumn("next", F.array_min(F.transform(F.filter(all_later, lambda s: s["l"] <= F.col("level")), lambda s: s["i"])))
+    found = near.unionByName(far)
+    return found.select("doc_id", F.concat(F.lit("sec_"), "id").alias("section_id"), "level", F.col("doc_index").alias("span_start"), F.coalesce("next", "end").alias("span_end"))
 
 
 def paths(sections: DataFrame, depth: int = 6) -> DataFrame:
-    """Beyond parity: section numbers from the root down to each section, up to depth levels."""
-    rows = sections.select("doc_id", "section_id", F.col("parent_id").alias("up"), F.array("number").alias("path"))
-    for _ in range(depth - 1):
-        above = sections.select("doc_id", F.col("section_id").alias("up"), F.col("parent_id").alias("further"), F.col("number").alias("n"))
-        rows = rows.join(above, ["doc_id", "up"], "left").select(
-            "doc_id", "section_id", F.col("further").alias("up"), F.when(F.col("n").isNull(), F.col("path")).otherwise(F.concat(F.array("n"), "path")).alias("path")
-        )
-    return rows.drop("up")
+    """Beyond parity: section numbers from the root down to each section, at any depth.
+
+    Of the latest earlier headings of the smaller levels those are ancestors that come after
+    all of still smaller levels. Documents with levels beyond depth gather the earlier headings instead.
+    """
+    before = Window.partitionBy("doc_id").orderBy("doc_index").rowsBetween(Window.unboundedPreceding, -1)
+    rows = sections.select("doc_id", "section_id", "doc_index", "level", "number").withColumn("deepest", F.max("level").over(Window.partitionBy("doc_id")))
+    own = F.struct(F.col("doc_index").alias("i"), F.col("level").alias("l"), F.col("number").alias("n"))
+    latest = [F.when(F.col("level") > k, F.last(F.when(F.col("level") == k, own), ignorenulls=True).over(before)) for k in range(1, depth)]
+    near = rows.where(F.col("deepest") <= depth).withColumn("above", F.filter(F.array(*latest), lambda x: x.isNotNull()))
+    near = near.withColumn("above", F.filter("above", lambda x, k: ~F.exists(F.slice("above", F.lit(1), k), lambda y: y["i"] > x["i"])))
+    start = F.struct(F.col("level").alias("l"), F.array().cast("array<string>").alias("path"))
+    climb = lambda s, x: F.when(x["l"] < s["l"], F.struct(x["l"].alias("l"), F.concat(F.array(x["n"]), s["path"]).alias("path"))).otherwise(s)
+    far = rows.where(F.col("deepest") > depth).withColumn("earlier", F.reverse(F.collect_list(own).over(before)))
+    far = far.withColumn("up", F.aggregate("earlier", start, climb)["path"])
+    near = near.withColumn("up", F.transform("above", lambda x: x["n"]))
+    return near.select("doc_id", "section_id", "number", "up").unionByName(far.select("doc_id", "section_id", "number", "up")).select(
+        "doc_id", "section_id", F.concat("up", F.array("number")).alias("path")
+    )

@@ -16,7 +16,7 @@ def requests(pages: DataFrame) -> DataFrame:
 
 
 def documents(pages: DataFrame, responses: DataFrame) -> DataFrame:
-    """Documents from pages with markup and recorded answers (doc_id, element_id, raw_response)."""
+    """Documents from pages with markup and recorded answers (doc_id, element_id, raw_response); of several answers the last by answer_idx."""
     found = blocks.assemble(grounding.parse(pages), blocks.latest(answers.parse(responses)))
     return docjson.assemble(found, pages.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("page_count")))
 

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import pipeline
 from ..functions import geometry, jsonio, labels, text
 from ..operators import answers, blocks, context, docjson, grounding, quality, sections
-from ..session import table
-from ..sources import files
+from ..session import ship, table
+from ..sources import files, providers
 from ..streaming import drain
 from . import fixtures as fx
 
@@ -23,7 +24,7 @@ def query(sql: str | None = None):
     """Registers a query under its function's name, with its SQL twin."""
 
     def add(f):
-        QUERIES[f.__name__] = f
+        QUERIES[f.__name__] = wraps(f)(lambda spark, sf_dir: f(ship(spark), sf_dir))
         if sql:
             ORACLE[f.__name__] = sql
         return f
@@ -298,7 +299,7 @@ SELECT t.doc_id, 'sec_' || t.id AS section_id, CASE WHEN p.parent_index IS NOT N
 FROM tree t LEFT JOIN tree p ON p.doc_id = t.doc_id AND p.doc_index = t.parent_index LEFT JOIN tree g ON g.doc_id = t.doc_id AND g.doc_index = p.parent_index""")
 def section_paths(spark, sf_dir):
     """Numbers from the root down to each section."""
-    return sections.paths(sections.tree(fx.outline(spark, sf_dir)), depth=3).select("doc_id", "section_id", F.array_join("path", ">").alias("path"))
+    return sections.paths(sections.tree(fx.outline(spark, sf_dir))).select("doc_id", "section_id", F.array_join("path", ">").alias("path"))
 
 
 # --- diagnostics ----------------------------------------------------------------------------
@@ -396,18 +397,6 @@ def tile_boxes(spark, sf_dir):
     return rows.select("p_partkey", "tile", "b.*")
 
 
-@query("""WITH ids AS (SELECT doc_id, list_transform(string_split(text[1:400], ' '), lambda x: length(x)::INT) AS ids FROM documents),
-s AS (SELECT doc_id, ids, len(ids) AS n FROM ids),
-g AS (SELECT doc_id, ids, n, unnest(range(greatest(0, n - 50), greatest(n - 2, 0))) AS i FROM s WHERE n >= 3),
-hits AS (SELECT DISTINCT doc_id, ids[i + 3] AS b FROM g WHERE ids[i + 1] = ids[n - 1] AND ids[i + 2] = ids[n] AND ids[i + 3] <> 5)
-SELECT s.doc_id, coalesce(string_agg(b::VARCHAR, ',' ORDER BY b), '') AS banned FROM s LEFT JOIN hits ON s.doc_id = hits.doc_id GROUP BY s.doc_id""")
-def ngram_ban(spark, sf_dir):
-    """Tokens that would repeat a trigram, over word lengths of the opening of each document."""
-    ids = F.transform(F.split(F.substring("text", 1, 400), " ", -1), lambda x: F.length(x))
-    rows = table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids"))
-    return rows.select("doc_id", F.array_join(F.transform(geometry.banned(F.col("ids"), 3, 50, [5]), lambda x: x.cast("string")), ",").alias("banned"))
-
-
 @query("""WITH ids AS (SELECT doc_id, list_transform(string_split(text, ' '), lambda x: length(x)::INT) AS ids FROM documents),
 s AS (SELECT doc_id, ids, len(ids) AS n FROM ids),
 g AS (SELECT doc_id, ids, n, unnest(range(greatest(0, n - 50), greatest(n - 2, 0))) AS i FROM s WHERE n >= 3),
@@ -456,3 +445,166 @@ def web_elements(spark, sf_dir):
         "page_id", F.posexplode(F.arrays_zip(*[F.regexp_extract_all("html", F.lit("<(h1|p|li)>([^<]*)"), F.lit(k)).alias(n) for k, n in ((1, "tag"), (2, "body"))])).alias("elem_idx", "e")
     )
     return found.select("page_id", "elem_idx", "e.tag", F.trim("e.body").alias("body"))
+
+
+# --- answers of every form, payloads, reports -----------------------------------------------------
+
+
+_OWN_ANSWERS = fx.SQL_ANSWERS.partition(")," + chr(10))[2]
+
+
+@query(f"""WITH {fx.SQL_ELEMENTS}, {_OWN_ANSWERS},
+late AS (SELECT doc_id, 'page_' || (i // {fx.LINES} + 1) || '_e' || (i % {fx.LINES}) AS element_id FROM lines WHERE (doc_id + i) % 4 = 0)
+SELECT e.doc_id, e.element_id AS id, CASE WHEN l.element_id IS NOT NULL THEN 'later' WHEN m NOT IN (0, 2) THEN item END AS text,
+  CASE WHEN l.element_id IS NOT NULL THEN 'corrected' WHEN m NOT IN (0, 2) THEN first_word END AS summary
+FROM elements e LEFT JOIN answers a ON e.doc_id = a.doc_id AND e.element_id = a.element_id LEFT JOIN late l ON e.doc_id = l.doc_id AND e.element_id = l.element_id
+WHERE a.element_id IS NOT NULL OR l.element_id IS NOT NULL""")
+def repeated_answers(spark, sf_dir):
+    """Of several answers to an element the last counts."""
+    b = blocks.assemble(_elements(spark, sf_dir), blocks.latest(answers.parse(fx.repeated(spark, sf_dir))))
+    return b.select("doc_id", "id", "text", F.coalesce("text_data.summary", "table.summary", "graph.summary", "diagram.summary", "complex_image.summary").alias("summary"))
+
+
+_FULL = f"""WITH {fx.SQL_ELEMENTS},
+worded AS (SELECT doc_id, i, regexp_extract_all(lower(line), '[a-z]{{2,}}')[1:3] AS w FROM lines),
+held AS (
+  SELECT e.*, w.i, w.w, coalesce(w.w[1], '') AS w1, coalesce(w.w[2], '') AS w2, coalesce(w.w[3], '') AS w3, (w.i + 1) || CASE WHEN w.i % 3 = 0 THEN '' ELSE '.' || (w.i % 3) END AS number,
+    (row_number() OVER (PARTITION BY e.doc_id ORDER BY e.page_num, e.elem_idx) - 1)::INT AS doc_index
+  FROM elements e JOIN worded w ON e.doc_id = w.doc_id AND w.i = (e.page_num - 1) * {fx.LINES} + e.elem_idx)"""
+_IS = lambda kind, value: f"CASE WHEN element_type = '{kind}' THEN {value} END"
+
+
+@query(f"""{_FULL} SELECT doc_id, element_id AS id, element_type AS type, doc_index, number || '. ' || w1 AS text, page_num AS page, x1, y1, x2, y2, w1 AS summary, array_to_string(w, '|') AS keywords,
+  CASE WHEN element_type LIKE 'text%' THEN number END AS numbering, CASE WHEN element_type = 'text_section' THEN len(string_split(number, '.'))::INT END AS level,
+  CASE WHEN element_type NOT LIKE 'text%' THEN element_type || '_p' || page_num || '_e' || doc_index END AS image_id,
+  {_IS("table", "'| a |' || chr(10) || '|---|' || chr(10) || '| ' || w1 || ' |'")} AS markdown, {_IS("table", "0")} AS cells, {_IS("table", "i % 2 = 0")} AS table_complex, {_IS("table", "doc_index")} AS table_index,
+  {_IS("graph", "w1")} AS title, {_IS("graph", "'bar'")} AS graph_type, {_IS("graph", "w2")} AS x_label, {_IS("graph", "w3")} AS y_unit, {_IS("graph", "w1 || '|' || w2")} AS legend, {_IS("graph", "'up'")} AS trends,
+  {_IS("diagram", "'flow'")} AS diagram_type, {_IS("diagram", "'a=' || w1")} AS components, {_IS("diagram", "'a>b'")} AS connections, {_IS("diagram", "'graph TD'")} AS mermaid, {_IS("diagram", "i % 3 = 0")} AS diagram_complex,
+  {_IS("diagram", "x2")} AS diagram_x2, {_IS("complex_image", "'photo'")} AS underlying_type, {_IS("complex_image", "w3")} AS visible_text, {_IS("complex_image", "'dense|small'")} AS reasons
+FROM held""")
+def documents_whole(spark, sf_dir):
+    """Every field of every block after a round trip through JSON."""
+    made = pipeline.documents(fx.markup(spark, sf_dir), fx.full_responses(spark, sf_dir))
+    b = docjson.from_json(docjson.to_json(made)).select("doc_id", F.explode("blocks").alias("b")).select("doc_id", "b.*")
+    kinds = ("text_data", "table", "graph", "diagram", "complex_image")
+    either = lambda name, own=kinds: F.coalesce(*[F.col(f"{k}.{name}") for k in own])
+    pairs = lambda c, x, y, mark: F.array_join(F.transform(c, lambda s: F.concat(s[x], F.lit(mark), s[y])), "|")
+    return b.select(
+        "doc_id", "id", "type", "doc_index", "text", "page", "bbox.x1", "bbox.y1", "bbox.x2", "bbox.y2", either("summary").alias("summary"), F.array_join(either("keywords"), "|").alias("keywords"),
+        "text_data.numbering", "level", either("image_id", kinds[1:]).alias("image_id"),
+        "table.markdown", (F.col("table.rows") + F.col("table.cols") + F.size("table.data")).alias("cells"), F.col("table.is_complex").alias("table_complex"), F.col("table.doc_index").alias("table_index"),
+        "graph.title", "graph.graph_type", F.col("graph.x_axis")["label"].alias("x_label"), F.col("graph.y_axis")["unit"].alias("y_unit"), F.array_join("graph.legend", "|").alias("legend"), F.array_join("graph.data_trends", "|").alias("trends"),
+        "diagram.diagram_type", pairs("diagram.components", "id", "label", "=").alias("components"), pairs("diagram.connections", "from", "to", ">").alias("connections"), "diagram.mermaid", F.col("diagram.is_complex").alias("diagram_complex"),
+        F.col("diagram.bbox.x2").alias("diagram_x2"), "complex_image.underlying_type", "complex_image.visible_text", F.array_join("complex_image.complexity_reasons", "|").alias("reasons"),
+    )
+
+
+@query(f"""{_FULL}, heads AS (SELECT doc_id, doc_index, len(string_split(number, '.')) AS level FROM held WHERE element_type = 'text_section'),
+roots AS (SELECT doc_id, count(*) AS sections FROM heads h WHERE level = 1 OR NOT EXISTS (SELECT 1 FROM heads p WHERE p.doc_id = h.doc_id AND p.doc_index < h.doc_index AND p.level < h.level) GROUP BY doc_id)
+SELECT h.doc_id, count(DISTINCT page_num) AS pages, count(*) AS elements, count(*) AS blocks, coalesce(any_value(r.sections), 0) AS sections FROM held h LEFT JOIN roots r ON h.doc_id = r.doc_id GROUP BY h.doc_id""")
+def document_totals(spark, sf_dir):
+    """Pages, elements, blocks and root sections where answers hold section numbers."""
+    return pipeline.report(fx.markup(spark, sf_dir), fx.full_responses(spark, sf_dir))
+
+
+@query(f"""WITH {fx.SQL_OUTLINE}, held AS (SELECT doc_id, doc_index - doc_index % 3 AS head, string_agg(id, ',' ORDER BY doc_index) AS block_ids FROM blocks GROUP BY ALL)
+SELECT t.doc_id, 'sec_' || t.id AS id, t.number, t.level, t.doc_index::INT AS doc_index, CASE WHEN t.parent_index IS NOT NULL THEN 'sec_b' || t.parent_index END AS parent_id, h.block_ids, t.id AS heading_block_id,
+  (t.doc_index + 1)::INT AS span_end FROM tree t JOIN held h ON h.doc_id = t.doc_id AND h.head = t.doc_index""")
+def documents_sections(spark, sf_dir):
+    """Every section of every document after a round trip through JSON."""
+    rows = fx.outline(spark, sf_dir)
+    made = docjson.assemble(rows, rows.groupBy("doc_id").agg(F.lit(1).alias("page_count")))
+    s = docjson.from_json(docjson.to_json(made)).select("doc_id", F.explode("sections").alias("s")).select("doc_id", "s.*")
+    return s.select("doc_id", "id", "number", "level", "doc_index", "parent_id", F.array_join("block_ids", ",").alias("block_ids"), "heading_block_id", F.col("span")[1].alias("span_end"))
+
+
+@query(f"""WITH {fx.SQL_LINES}, boxed AS (SELECT doc_id, i AS elem_idx, i * 13 % 400 AS x, i % 6 AS m FROM lines)
+SELECT doc_id, elem_idx, trunc(x / 999.0::DOUBLE * 1000) AS x1, trunc((CASE WHEN m = 0 THEN x + 1 ELSE x END) / 999.0::DOUBLE * 1000) AS y1,
+  trunc((CASE m WHEN 0 THEN x + 50 WHEN 3 THEN 500 ELSE 700 END) / 999.0::DOUBLE * 1000) AS x2, trunc((CASE m WHEN 0 THEN x + 60 WHEN 3 THEN 600 ELSE 800 END) / 999.0::DOUBLE * 1000) AS y2
+FROM boxed WHERE m IN (0, 3, 4)""")
+def boxes_kept(spark, sf_dir):
+    """Elements whose boxes are short, empty or no numbers go, the others keep their place."""
+    return grounding.parse(fx.boxes(spark, sf_dir)).select("doc_id", "elem_idx", "bbox.x1", "bbox.y1", "bbox.x2", "bbox.y2")
+
+
+@query(f"""WITH {fx.SQL_ELEMENTS} SELECT element_type, count(*) AS elements, count(text_preview) AS with_preview, count(*) - count(text_preview) AS without_preview, round(coalesce(avg(length(text_preview)), 0), 6) AS avg_length,
+  coalesce(min(length(text_preview)), 0)::INT AS min_length, coalesce(max(length(text_preview)), 0)::INT AS max_length FROM elements GROUP BY ROLLUP (element_type)""")
+def preview_lengths(spark, sf_dir):
+    """Elements with and without preview, and the lengths of previews, by type and overall."""
+    return quality.preview_lengths(_elements(spark, sf_dir))
+
+
+@query(f"""WITH {fx.SQL_ELEMENTS}, n AS (SELECT label, count(*) AS n, min(doc_id * 1000000 + page_num * 100 + elem_idx) AS place FROM elements GROUP BY label)
+SELECT label, n, (row_number() OVER (ORDER BY n DESC, place))::INT AS rank FROM n""")
+def labels_by_count(spark, sf_dir):
+    """The label report's order: the most frequent first, then the earliest."""
+    found = quality.label_report(_elements(spark, sf_dir).withColumn("place", F.struct("doc_id", "page_num", "elem_idx")))
+    return found.select("label", "n", F.row_number().over(Window.orderBy(F.desc("n"), "place")).alias("rank"))  # a row per label
+
+
+@query(f"WITH {fx.SQL_ELEMENTS} SELECT element_type, count(*) AS n, (row_number() OVER (ORDER BY element_type))::INT AS rank FROM elements GROUP BY element_type")
+def types_by_name(spark, sf_dir):
+    """The type report's order."""
+    found = quality.type_report(_elements(spark, sf_dir))
+    return found.select("element_type", "n", F.row_number().over(Window.orderBy("element_type")).alias("rank"))  # a row per type
+
+
+@query(f"""WITH {fx.SQL_ELEMENTS} SELECT doc_id, page_num, count(*)::INT AS n, string_agg(element_id || ':' || element_type || ':' || x1::INT || ':' || coalesce(length(text_preview), -1), ',' ORDER BY elem_idx) AS elements
+FROM elements GROUP BY doc_id, page_num""")
+def pages_nested(spark, sf_dir):
+    """Pages as JSON of their elements, read back."""
+    own = "page_num int, elements array<struct<element_id:string,element_type:string,bbox:struct<x1:double>,text_preview:string>>"
+    d = docjson.page_json(_elements(spark, sf_dir)).select("doc_id", F.from_json("json", own).alias("d"))
+    one = lambda e: F.concat_ws(":", e["element_id"], e["element_type"], e["bbox"]["x1"].cast("int"), F.coalesce(F.length(e["text_preview"]), F.lit(-1)))
+    return d.select("doc_id", "d.page_num", F.size("d.elements").alias("n"), F.array_join(F.transform("d.elements", one), ",").alias("elements"))
+
+
+@query(f"WITH {fx.SQL_ELEMENTS} SELECT doc_id, element_id, element_type, x2, page_num AS page, 1.0::DOUBLE AS confidence, text_preview FROM elements")
+def elements_json(spark, sf_dir):
+    """Elements as JSON, read back."""
+    own = "element_id string, element_type string, bbox struct<x2:double,page:int>, confidence double, text_preview string"
+    d = docjson.element_json(_elements(spark, sf_dir)).select("doc_id", F.from_json("json", own).alias("d"))
+    return d.select("doc_id", "d.element_id", "d.element_type", "d.bbox.x2", "d.bbox.page", "d.confidence", "d.text_preview")
+
+
+# --- sources and providers ------------------------------------------------------------------------
+
+
+@query(r"""WITH p AS (SELECT doc_id, 'in/' || source || '/' || CASE WHEN doc_id % 3 = 0 THEN '.' || doc_id ELSE doc_id || '.' || lang || '.pdf' END AS path FROM documents)
+SELECT doc_id, regexp_replace(regexp_extract(path, '([^/]*)$', 1), '(.)\.[^.]*$', '\1') AS stem FROM p""")
+def file_stems(spark, sf_dir):
+    """Output names from paths; a leading point begins no extension."""
+    name = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("."), "doc_id")).otherwise(F.concat("doc_id", F.lit("."), "lang", F.lit(".pdf")))
+    return table(spark, sf_dir, "documents").select("doc_id", text.stem(F.concat(F.lit("in/"), "source", F.lit("/"), name)).alias("stem"))
+
+
+@query(_PLAN + f""", t AS (SELECT p_partkey, cols, rows, 16 * 17 + 1 + CASE WHEN cols > 1 OR rows > 1 THEN rows * 10 * (cols * 10 + 1) ELSE 0 END AS tokens FROM plan)
+SELECT p_partkey, cols * rows <> 1 AS thumbnail, tokens::BIGINT * {2 * 2048 * 1280} AS flops, 1280 AS largest_width FROM t""")
+def image_totals(spark, sf_dir):
+    """Thumbnails, the projector's operations and the largest view."""
+    rows = _sizes(spark, sf_dir).withColumn("g", geometry.crop_grid(F.col("w"), F.col("h")))
+    tokens = geometry.vision_tokens(F.col("g"))
+    return rows.select("p_partkey", geometry.has_thumbnail(F.col("g"), True).alias("thumbnail"), geometry.projector_flops(tokens).alias("flops"), F.lit(geometry.largest_view()[0]).alias("largest_width"))
+
+
+@query(f"WITH {fx.SQL_LINES} SELECT doc_id, i, CASE WHEN (doc_id + i) % 5 <> 0 THEN line END AS raw_response FROM lines")
+def recorded_answers(spark, sf_dir):
+    """Recorded answers meet their requests by key; requests without one stay."""
+    rows = fx.lines(spark, sf_dir)
+    said = rows.where((F.col("doc_id") + F.col("i")) % 5 != 0).select("doc_id", "i", F.col("line").alias("raw_response"))
+    return providers.recorded(rows.select("doc_id", "i"), said, ["doc_id", "i"])
+
+
+@query(f"WITH {fx.SQL_LINES} SELECT doc_id, i, length(line) || ':' || line AS raw_response, NULL::VARCHAR AS error FROM lines")
+def inferred_answers(spark, sf_dir):
+    """A model's answers in batches, every row with its own key, without the end mark."""
+    return providers.infer(fx.lines(spark, sf_dir).select("doc_id", "i", F.col("line").alias("prompt")), fx.Counting, "<end>").select("doc_id", "i", "raw_response", "error")
+
+
+@query(f"""WITH {fx.SQL_LINES} SELECT doc_id::VARCHAR AS doc_id, i + 1 AS page_num, trim(line, ' ' || chr(9) || chr(13)) AS text_layer, octet_length(encode(line))::INT AS width, 200 AS height, NULL::VARCHAR AS error FROM lines WHERE doc_id % 7 <> 3
+UNION ALL SELECT doc_id::VARCHAR, NULL, NULL, NULL, NULL, 'ValueError: no pages' FROM documents WHERE doc_id % 7 = 3""")
+def rendered_pages(spark, sf_dir):
+    """Files rendered to numbered pages; a broken file is one row with its error."""
+    content = F.when(F.col("doc_id") % 7 == 3, "broken").otherwise(F.col("text")).cast("binary")
+    files_ = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), content.alias("content"))
+    return files.render(files_, fx.by_line).select("doc_id", "page_num", "text_layer", "width", "height", "error")

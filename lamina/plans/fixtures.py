@@ -41,7 +41,7 @@ def markup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, element_id, raw_response: second-pass answers, some broken, some bare lists, some missing."""
+    """doc_id, element_id, answer_idx, raw_response: second-pass answers, some broken, some bare lists, some missing."""
     rows = lines(spark, sf_dir).select("doc_id", "i", F.slice(F.regexp_extract_all(F.lower("line"), F.lit("[a-z]{2,}"), F.lit(0)), 1, 3).alias("w"))
     w = lambda k: F.coalesce(F.get("w", F.lit(k)), F.lit(""))
     m = (F.col("doc_id") + F.col("i")) % 11
@@ -51,10 +51,70 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.concat(items, keys, end)
     answer = F.when(m == 0, F.concat(whole, F.lit(" trailing"))).when(m == 1, F.concat(items, end)).when(m == 2, F.concat(F.lit("["), whole, F.lit("]"))).otherwise(whole)
     return rows.where(m != 3).select(
-        "doc_id", F.concat(F.lit("page_"), (F.floor(F.col("i") / LINES) + 1).cast("int"), F.lit("_e"), F.col("i") % LINES).alias("element_id"), answer.alias("raw_response")
+        "doc_id", F.concat(F.lit("page_"), (F.floor(F.col("i") / LINES) + 1).cast("int"), F.lit("_e"), F.col("i") % LINES).alias("element_id"), F.col("i").alias("answer_idx"), answer.alias("raw_response")
     )
 
 
+def _element_id() -> Column:
+    return F.concat(F.lit("page_"), (F.floor(F.col("i") / LINES) + 1).cast("int"), F.lit("_e"), F.col("i") % LINES)
+
+
+def repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """responses, and a later answer to every fourth element."""
+    again = lines(spark, sf_dir).where((F.col("doc_id") + F.col("i")) % 4 == 0)
+    late = F.lit('{"items":["later"],"keywords":[],"summary":"corrected"}')
+    return responses(spark, sf_dir).unionByName(again.select("doc_id", _element_id().alias("element_id"), (F.col("i") + 1_000_000).alias("answer_idx"), late.alias("raw_response")))
+
+
+def full_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An answer to every element, with a section number of depth 1 or 2 and a payload for each type."""
+    rows = lines(spark, sf_dir).select("doc_id", "i", F.slice(F.regexp_extract_all(F.lower("line"), F.lit("[a-z]{2,}"), F.lit(0)), 1, 3).alias("w"))
+    w = [F.coalesce(F.get("w", F.lit(k)), F.lit("")) for k in range(3)]
+    number = F.concat((F.col("i") + 1).cast("string"), F.when(F.col("i") % 3 == 0, ".").otherwise(F.concat(F.lit("."), F.col("i") % 3, F.lit("."))))
+    complex_ = lambda n: F.when(F.col("i") % n == 0, "complex").otherwise("simple")
+    graph = F.struct(w[0].alias("title"), F.lit("bar").alias("graph_type"), F.struct(w[1].alias("label")).alias("x_axis"), F.struct(w[2].alias("unit")).alias("y_axis"), F.array(w[0], w[1]).alias("legend"), F.array(F.lit("up")).alias("trends"))
+    diagram = F.struct(
+        F.lit("flow").alias("diagram_type"), F.array(F.struct(F.lit("a").alias("id"), w[0].alias("label"))).alias("components"),
+        F.array(F.struct(F.lit("a").alias("from"), F.lit("b").alias("to"))).alias("connections"), F.lit("graph TD").alias("mermaid"), complex_(3).alias("complexity"),
+    )
+    picture = F.struct(F.lit("photo").alias("underlying_type"), w[2].alias("visible_text"), F.array(F.lit("dense"), F.lit("small")).alias("complexity_reasons"))
+    answer = F.struct(
+        F.array(F.concat(number, F.lit(" "), w[0]), w[1]).alias("items"), F.col("w").alias("keywords"), w[0].alias("summary"), F.concat(F.lit("| a |\n|---|\n| "), w[0], F.lit(" |")).alias("markdown"),
+        complex_(2).alias("complexity"), graph.alias("graph_data"), diagram.alias("diagram_data"), picture.alias("complexity_data"),
+    )
+    return rows.select("doc_id", _element_id().alias("element_id"), F.col("i").alias("answer_idx"), F.to_json(answer).alias("raw_response"))
+
+
+def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page per document with a tagged line each, of whose boxes half are short, empty or no numbers."""
+    x = F.col("i") * 13 % 400
+    box = F.element_at(
+        F.array(
+            F.format_string("[[%d,%d,%d,%d]]", x, x + 1, x + 50, x + 60), F.format_string("[[%d,%d,%d]]", x, x, x), F.format_string("[[%d,%d,abc,9]]", x, x),
+            F.format_string("[[ %d , %d , 500 , 600 ]]", x, x), F.format_string("[[%d,%d,700,800,9]]", x, x), F.lit("[]"),
+        ),
+        (F.col("i") % 6 + 1).cast("int"),
+    )
+    rows = lines(spark, sf_dir).withColumn("x", F.struct("i", F.concat(F.lit("<|ref|>text<|/ref|><|det|>"), box, F.lit("<|/det|>\n"), "line").alias("t")))
+    held = rows.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda r: r["t"]), "\n").alias("raw_response"))
+    return held.select("doc_id", F.lit(1).alias("page_num"), F.lit(1000).alias("width"), F.lit(1000).alias("height"), "raw_response")
+
+
+class Counting:
+    """A model that says each prompt with its length in front and an end mark behind."""
+
+    def __call__(self, prompts: list[str], images: list[bytes | None]) -> list[str]:
+        return [f"{len(p)}:{p}<end>" for p in prompts]
+
+
+def by_line(content: bytes, dpi: int, with_text: bool):
+    """A renderer whose pages are the lines of a file."""
+    if content == b"broken":
+        raise ValueError("no pages")
+    for line in content.split(b"\n"):
+        yield line, line.decode() if with_text else None, len(line), dpi
+
+
 def outline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks in which every third line is a numbered heading of depth 1 to 3."""
     rows = lines(spark, sf_dir)

@@ -218,6 +218,55 @@ def test_cli(spark, tmp_path):
     assert cli.main(["batch", *both, "--resume"], spark) == 1
 
 
+def test_broken_documents_fail_alone(spark, tmp_path):
+    """A batch with a page that has no markup: the other documents are written, the summary and the exit code tell."""
+    import json
+
+    pages, recorded, out = (str(tmp_path / x) for x in ("pages", "answers", "out"))
+    rows = fixtures.markup(spark, SF).where("doc_id < 6")
+    rows.withColumn("raw_response", F.when(F.col("doc_id") != 4, F.col("raw_response"))).write.parquet(pages)
+    fixtures.responses(spark, SF).where("doc_id < 6").write.parquet(recorded)
+    both = ["--pages", pages, "--answers", recorded, "--output", out, "--buckets", "3"]
+    assert cli.main(["batch", *both], spark) == 1
+    assert sorted(r["doc_id"] for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 5]
+    told = json.loads(spark.read.text(out + "_summary").first()["value"])
+    assert (told["success"], told["failed"]) == (5, 1) and told["mean_seconds"] <= told["total_seconds"] / 5
+    assert {r["doc_id"]: r["error"] for r in spark.read.parquet(out + "_results").where("status = 'failed'").collect()} == {4: "a page has no markup"}
+    assert cli.main(["batch", *both, "--resume"], spark) == 1 and spark.read.parquet(out).count() == 5
+
+
+def test_last_answer_needs_an_order(spark):
+    rows = spark.createDataFrame([(1, "a", "x", 2), (1, "a", "y", 5), (1, "b", "z", 1)], "doc_id int, element_id string, v string, answer_idx int")
+    assert sorted(r["v"] for r in blocks.latest(rows).collect()) == ["y", "z"]
+    assert blocks.latest(rows.where("v <> 'x'").drop("answer_idx")).count() == 2
+    with pytest.raises(Exception, match="several answers but no order: a"):
+        blocks.latest(rows.drop("answer_idx")).collect()
+
+
+@pytest.mark.parametrize("deep", [False, True])
+def test_spans_and_paths_equal_a_walk(spark, deep):
+    """Random outlines, also beyond six levels, against a walk with a stack."""
+    import random
+
+    rng, rows, want = random.Random(3), [], {}
+    for doc in range(12):
+        stack, n, levels = [], 40, []
+        for i in range(n):
+            level = rng.randrange(1, 10 if deep else 7)
+            number = ".".join(str(rng.randrange(1, 9)) for _ in range(level))
+            head = i % 2 == 0
+            rows.append((doc, f"b{i}", "text_section" if head else "text_paragraph", i, "t", number if head else None))
+            if head:
+                levels.append((i, level))
+                stack = [x for x in stack if x[0] < level] + [(level, number)]
+                want[doc, f"sec_b{i}"] = [x[1] for x in stack]
+        for i, level in levels:
+            want[doc, f"sec_b{i}", "end"] = min([k for k, up in levels if k > i and up <= level], default=n)
+    df = spark.createDataFrame(rows, "doc_id int, id string, type string, doc_index int, text string, numbering string")
+    assert {(r["doc_id"], r["section_id"]): r["path"] for r in sections.paths(sections.tree(df)).collect()} == {k: v for k, v in want.items() if len(k) == 2}
+    assert {(r["doc_id"], r["section_id"], "end"): r["span_end"] for r in sections.spans(df).collect()} == {k: v for k, v in want.items() if len(k) == 3}
+
+
 def test_grades(spark):
     rows = spark.createDataFrame([(0.7,), (0.5,), (0.1,)], "v double").select(quality.grade(F.col("v"), quality.COVERAGE).alias("g"))
     assert [r["g"] for r in rows.collect()] == ["good", "moderate", "poor"]
