@@ -77,18 +77,17 @@ def merged_level(tree: DataFrame, depth: int, min_share: float, deviations: floa
     at = tree.withColumn("part", F.get("parts", F.lit(depth))).withColumn("child", F.coalesce(F.get("parts", F.lit(depth + 1)), F.lit("")))
     live = at.where("part is not null")
     cells = live.groupBy("host", "prefix", "part", "child").agg(F.sum("n").alias("o"), F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
-    each = cells.groupBy("host", "prefix", "part").agg(F.sum("o").alias("n"), F.sum("l").alias("pl"), F.sum("b").alias("pb"))
+    each = cells.groupBy("host", "prefix", "part").agg(F.sum("o").alias("n"))
     # the kinds that make up a tenth of a sibling: ten at most
-    main = cells.join(each.select("host", "prefix", "part", "n"), ["host", "prefix", "part"]).where("10 * o >= n")
+    main = cells.join(each, ["host", "prefix", "part"]).where("10 * o >= n")
     main = main.groupBy("host", "prefix", "part").agg(F.array_join(F.array_sort(F.collect_set(F.when(F.col("child") == "", ".").otherwise(F.col("child")))), "|").alias("like"))
-    each = common.stored(each.join(main, ["host", "prefix", "part"]), "siblings")
     group = ["host", "prefix", "like"]
-    cells = cells.join(each.select("host", "prefix", "part", "like"), ["host", "prefix", "part"])
-    kinds = cells.groupBy(*group, "child").agg(F.sum("o").alias("kind_n"))
-    widths = kinds.groupBy(*group).agg((F.count(F.lit(1)) - 1).alias("free"))
-    parents = each.groupBy(*group).agg(F.sum("n").alias("pn"), ((F.sum("pb") + 1) / (F.sum("pl") + 2)).alias("pooled"))
-    squares = cells.join(kinds, [*group, "child"]).groupBy("host", "prefix", "part").agg(F.sum(F.col("o") * F.col("o") / F.col("kind_n")).alias("square"))
-    siblings = each.join(squares, ["host", "prefix", "part"]).join(parents, group).join(widths, group)
+    cells = common.stored(cells.join(main, ["host", "prefix", "part"]), "cells")
+    kinds = cells.groupBy(*group, "child").agg(F.sum("o").alias("kind_n"), F.sum("l").alias("l"), F.sum("b").alias("b"))
+    parents = kinds.groupBy(*group).agg(F.sum("kind_n").alias("pn"), ((F.sum("b") + 1) / (F.sum("l") + 2)).alias("pooled"), (F.count(F.lit(1)) - 1).alias("free"))
+    cells = cells.join(kinds.select(*group, "child", "kind_n"), [*group, "child"])
+    squares = cells.groupBy(*group, "part").agg(F.sum(F.col("o") * F.col("o") / F.col("kind_n")).alias("square"), F.sum("o").alias("n"), F.sum("l").alias("pl"), F.sum("b").alias("pb"))
+    siblings = squares.join(parents, group)
     chi = F.col("square") * F.col("pn") / F.col("n") - F.col("n")
     alike = chi <= F.col("free") + deviations * F.sqrt(2 * F.col("free")) + 1e-6
     off = F.col("pb") - F.col("pl") * F.col("pooled")
