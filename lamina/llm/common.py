@@ -8,7 +8,8 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @cache
@@ -66,3 +67,24 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+#: Bits of a sieve for each key, and at most (32 MB), above which more other rows pass.
+SIEVE_BITS, SIEVE_MOST = 16, 1 << 28
+
+
+def sifted(rows: DataFrame, key: Column, wanted: DataFrame, most: int = SIEVE_MOST) -> DataFrame:
+    """Rows whose key (a hash, long) may be among wanted's only column; an exact join must follow.
+
+    All rows with a wanted key pass, and one in 16 or fewer of the others while wanted has less than most / 16 keys.
+    The hashes' bits are broadcast as a table of bitmaps, so rows that no join needs never enter its shuffle.
+    """
+    name, bitmap, number = (fresh(rows, c) for c in ("_place", "_bitmap", "_number"))
+    bits = min(most, 1 << max(15, (SIEVE_BITS * wanted.count()).bit_length()))
+    place = F.pmod(F.col(wanted.columns[0]), F.lit(bits)) + 1
+    maps = wanted.select(place.alias(name)).groupBy(F.bitmap_bucket_number(name).alias(number)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(name)).alias(bitmap))
+    marked = rows.withColumn(name, F.pmod(key, F.lit(bits)) + 1)
+    at = F.bitmap_bit_position(name).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    found = marked.join(F.broadcast(maps), F.bitmap_bucket_number(name) == F.col(number))
+    return found.where(F.getbit(byte, at % 8) == 1).select(rows.columns)

@@ -15,7 +15,8 @@ link per class. Buckets of more than ``chunk`` texts are dealt into parts that a
 bucket's first text; texts that end up outside its class then meet every part, in blocks. So
 any two texts that share a bucket are compared or of one class already, and no task gets
 more than a few chunks. Classes are the connected components of verified pairs, found by distributed
-label propagation.
+label propagation. Entries of buckets of one, and texts that no pair needs, are sieved off by bitmaps of bounded
+size before the exact joins.
 
 Defined edge cases: a null text counts as empty; texts without words are duplicates of equal
 texts only; texts of fewer words than a shingle are one shingle; long texts are read whole;
@@ -451,6 +452,8 @@ def rooted(docs: DataFrame, threshold: float = THRESHOLD, idf_strength: float =
     signed = common.stored(signed_rows.groupBy("node").agg(F.first("bands").alias("bands"), F.first("codes").alias("codes"), F.min("doc_id").alias("doc_id")), "nodes")
 
     entries = signed.select("node", F.posexplode("bands").alias("band", "key"))
+    repeated = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    entries = common.sifted(entries, F.col("key"), common.stored(repeated.select("key"), "keys"))
     buckets = entries.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1")
     entries = entries.join(buckets, ["band", "key"])
     parts = F.ceil(F.col("n") / chunk).cast("int")
@@ -499,7 +502,8 @@ def undecided(entries: DataFrame, labels: DataFrame, chunk: int) -> DataFrame:
 
 def _texts(rows: DataFrame, signed: DataFrame, needed: DataFrame) -> DataFrame:
     """node, text of the needed nodes, each from one of its documents."""
-    one = signed.select("node", F.col("doc_id").alias("one")).join(needed, "node")
+    one = common.stored(signed.select("node", F.col("doc_id").alias("one")).join(needed, "node"), "chosen")
+    rows = common.sifted(rows, F.xxhash64("node", "doc_id"), one.select(F.xxhash64("node", "one")))
     found = rows.join(one, (rows["node"] == one["node"]) & rows["doc_id"].eqNullSafe(one["one"])).select(rows["node"], "text")
     return common.stored(found.dropDuplicates(["node"]), "texts")
 

@@ -295,3 +295,17 @@ def test_word_hashes_follow_split():
         for w, h in zip(words, got, strict=True):
             assert seen.setdefault(w, h) == h
     assert len(set(seen.values())) == len(seen)
+
+
+@pytest.mark.parametrize("most", [1 << 15, 1 << 28])
+def test_sieve_keeps_every_wanted_row(spark, most):
+    """Also with more keys than bits, with negative keys, repeated rows and columns of the sieve's names; no key, no row."""
+    rng = random.Random(most)
+    keys = [0, -1, 1, 2**63 - 1, -(2**63), *(rng.randrange(-(2**63), 2**63) for _ in range(5000))]
+    rows = spark.createDataFrame([(k, k) for k in keys * 2], "key long, _place long")
+    wanted = rows.select("key").where("key % 7 = 0 or key in (0, -1, 1)").distinct()
+    got = neardup.common.sifted(rows, neardup.F.col("key"), wanted, most)
+    assert got.columns == rows.columns and got.where("key <> _place").count() == 0
+    assert got.join(wanted, "key").count() == 2 * wanted.count()
+    assert got.count() - 2 * wanted.count() <= 2 * len(keys) * (0.1 if most > 1 << 20 else 0.2)
+    assert neardup.common.sifted(rows, neardup.F.col("key"), wanted.limit(0), most).count() == 0
