@@ -161,15 +161,35 @@ def weights(h: np.ndarray, tf: np.ndarray, levels: np.ndarray, docs: int, streng
     return ((1 + np.floor(np.log2(tf))) * (1 + strength * np.clip(rare, 0, 1))).astype(np.float32)
 
 
+class Curve:
+    """A function by its values on an even grid, linear in between; finding a place takes no search."""
+
+    def __init__(self, begin: float, step: float, values: np.ndarray) -> None:
+        self.begin, self.per, self.values, self.rise = begin, 1 / step, values[:-1], np.diff(values)
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        place = np.clip((x - self.begin) * self.per, 0, len(self.values) - 1e-6)
+        cell = place.astype(np.int32)
+        return self.values[cell] + (place - cell) * self.rise[cell]
+
+
+#: ln F above which its inverse is too steep for an even grid.
+STEEP = -0.05
+
+
 @lru_cache(maxsize=1)
-def curves() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """ln q on a fine grid, there ln F(q) of F(q) = P(E U < q), and ln E1(q), for E of Exp(1) and U of U(0, 1)."""
+def curves() -> tuple[np.ndarray, np.ndarray, Curve, Curve, Curve]:
+    """For F(q) = P(E U < q), with E of Exp(1) and U of U(0, 1): ln q on a fine grid and ln F(q) there;
+    ln q by ln F up to STEEP; ln E1(q) by ln q; ln q by -ln E1(q), for q below e**4."""
     ln_q = np.arange(-45, 4.6, 0.002)
     density = np.exp(-np.exp(ln_q))
     e1 = np.cumsum(((density[1:] + density[:-1]) * 0.001)[::-1])[::-1]
     ln_q, e1 = ln_q[:-1], np.maximum(e1, 1e-300)
     q = np.exp(ln_q)
-    return ln_q, np.log(np.minimum(q * e1 - np.expm1(-q), 1)), np.log(e1)
+    ln_f, ln_e1 = np.log(np.minimum(q * e1 - np.expm1(-q), 1)), np.log(e1)
+    low, high = np.arange(ln_f[0], STEEP + 0.002, 0.001), np.arange(-ln_e1[0], 58, 0.001)
+    inverse = Curve(low[0], 0.001, np.interp(low, ln_f, ln_q))
+    return ln_q, ln_f, inverse, Curve(-45, 0.002, ln_e1), Curve(high[0], 0.001, np.interp(high, -ln_e1, ln_q))
 
 
 SALT = mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * MIX[2])
@@ -188,13 +208,16 @@ def ln_a(h: np.ndarray, w: np.ndarray, salt: np.ndarray, bits: np.ndarray) -> tu
     With E, E' of Exp(1) and U of U(0, 1), c = E + E' and r = ln((E + E') / (E U)) are independent and of Gamma(2, 1).
     q = E U = c / exp(r) is drawn first, by bits; then E given q.
     """
-    ln_q, ln_f, ln_e1 = curves()
+    ln_q, ln_f, inverse, ln_e1, by_e1 = curves()
     one = mixed(h ^ salt)
     two = mixed(one + MIX[2])
     three = mixed(two + MIX[2])
-    lq = np.interp(np.log((bits + uniform(one)) * 2.0**-32), ln_f, ln_q)
-    e = np.exp(np.interp(-(np.log(uniform(two)) + np.interp(lq, ln_q, ln_e1)), -ln_e1, ln_q))
-    r = np.log(np.maximum(e, np.exp(lq)) - np.log(uniform(three))) - lq
+    lf = np.log((bits + uniform(one)) * 2.0**-32)
+    lq, steep = inverse(lf), np.flatnonzero(lf > STEEP)
+    if len(steep):
+        lq[steep] = np.interp(lf[steep], ln_f, ln_q)
+    e = np.exp(np.maximum(by_e1(-(np.log(uniform(two)) + ln_e1(lq))), lq))
+    r = np.log(e - np.log(uniform(three))) - lq
     beta = uniform(mixed(three + MIX[2]))
     t = np.floor(np.log(w) / r + beta)
     return lq - r * (t - beta), t
@@ -205,12 +228,14 @@ def samples(h: np.ndarray, w: np.ndarray) -> np.ndarray:
 
     a is at least q / w, so only shingles of a small q can have the least a. These are told by
     comparing bits; a sample whose least a is not below the limit is drawn again under a higher one.
+    The limits change the work only, never a sample.
     """
-    ln_q, ln_f, _ = curves()
+    ln_q, ln_f, *_ = curves()
     low, w = h.astype(np.uint32), w.astype(float)
-    out, left, limit = np.zeros(SAMPLES, np.uint64), np.arange(SAMPLES), 4 / w.sum()
+    out, left, limit = np.zeros(SAMPLES, np.uint64), np.arange(SAMPLES), 2 / w.sum()
     while len(left):
-        most = np.minimum(np.exp(np.interp(np.log(w * limit), ln_q, ln_f)) * 2.0**32 * (1 + 1e-6) + 2, 2.0**32 - 1).astype(np.uint32)
+        share = np.interp(np.log(w * limit), ln_q, ln_f)
+        most = np.where(share > 2 * STEEP, 2.0**32 - 1, np.exp(share) * 2.0**32 * (1 + 1e-4) + 2).astype(np.uint32)
         best, value = np.full(len(left), np.inf), np.zeros(len(left), np.uint64)
         size = (1 << 18) // len(left)
         for begin in range(0, len(h), size):
@@ -220,7 +245,7 @@ def samples(h: np.ndarray, w: np.ndarray) -> np.ndarray:
                 continue
             own = h[begin + at]
             a, t = ln_a(own, w[begin + at], SALT[left[which]], bits[which, at])
-            first = np.flatnonzero(np.diff(which, prepend=-1))
+            first = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]]))
             least = np.minimum.reduceat(a, first)
             each = which[first]
             hit = np.flatnonzero(a == np.repeat(least, np.diff(first, append=len(a))))
@@ -231,7 +256,7 @@ def samples(h: np.ndarray, w: np.ndarray) -> np.ndarray:
             value[each] = own[hit] + t[hit].astype(np.int64).astype(np.uint64) * MIX[2]
         done = best < math.log(limit)
         out[left[done]] = mixed(value[done])
-        left, limit = left[~done], limit * 4
+        left, limit = left[~done], limit * 3
     return mixed(out ^ SALT)
 
 

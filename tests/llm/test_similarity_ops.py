@@ -126,6 +126,26 @@ def brute_classes(texts, threshold=0.8, strength=0.1):
     return [top(i) for i in range(len(texts))]
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 300, 3000])
+def test_samples_are_those_of_all_shingles(n):
+    """The limits that pass shingles over never change a sample; the curves on even grids are those of F and E1."""
+    h = np.unique(neardup.mixed(np.arange(1, n + 1, dtype=np.uint64)))
+    w = np.where(h % np.uint64(3) == 0, 1.0, np.where(h % np.uint64(3) == 1, 1.1, 40.0))
+    least = []
+    for k in range(neardup.SAMPLES):
+        bits = (h.astype(np.uint32) ^ neardup.FLIP[k]) * neardup.ODD[k]
+        a, t = neardup.ln_a(h, w, neardup.SALT[k], bits)
+        i = int(np.argmin(a))
+        least.append((h[i : i + 1] + t[i : i + 1].astype(np.int64).astype(np.uint64) * neardup.MIX[2])[0])
+    want = neardup.mixed(neardup.mixed(np.array(least, np.uint64)) ^ neardup.SALT)
+    assert (neardup.samples(h, w) == want).all()
+    ln_q, ln_f, inverse, ln_e1, by_e1 = neardup.curves()
+    x = np.linspace(-40, -0.1, 5000)
+    assert np.abs(np.interp(inverse(x), ln_q, ln_f) - x).max() < 1e-5
+    at = np.linspace(-40, 3, 5000)
+    assert np.abs(by_e1(-ln_e1(at)) - at).max() < 1e-3
+
+
 def corpus(rng, n=60):
     words = [f"w{k}" for k in range(500)]
     shared = " ".join(rng.choice(words) for _ in range(60))
