@@ -71,6 +71,8 @@ def fresh(df: DataFrame, name: str) -> str:
 
 #: Bits of a sieve for each key, and at most (32 MB), above which more other rows pass.
 SIEVE_BITS, SIEVE_MOST = 16, 1 << 28
+#: Bytes of a bitmap as it is built, and of its pieces, of which a join copies one for each row.
+BITMAP, PIECE = 4096, 128
 
 
 def sifted(rows: DataFrame, key: Column, wanted: DataFrame, most: int = SIEVE_MOST) -> DataFrame:
@@ -79,12 +81,16 @@ def sifted(rows: DataFrame, key: Column, wanted: DataFrame, most: int = SIEVE_MO
     All rows with a wanted key pass, and one in 16 or fewer of the others while wanted has less than most / 16 keys.
     The hashes' bits are broadcast as a table of bitmaps, so rows that no join needs never enter its shuffle.
     """
-    name, bitmap, number = (fresh(rows, c) for c in ("_place", "_bitmap", "_number"))
+    place, bitmap, number = (fresh(rows, c) for c in ("_place", "_bitmap", "_number"))
     bits = min(most, 1 << max(15, (SIEVE_BITS * wanted.count()).bit_length()))
-    place = F.pmod(F.col(wanted.columns[0]), F.lit(bits)) + 1
-    maps = wanted.select(place.alias(name)).groupBy(F.bitmap_bucket_number(name).alias(number)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(name)).alias(bitmap))
-    marked = rows.withColumn(name, F.pmod(key, F.lit(bits)) + 1)
-    at = F.bitmap_bit_position(name).cast("int")
+    one = F.pmod(F.col(wanted.columns[0]), F.lit(bits)) + 1
+    maps = wanted.select(one.alias(place)).groupBy(F.bitmap_bucket_number(place).alias(number)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias(bitmap))
+    each = BITMAP // PIECE
+    maps = maps.select(number, bitmap, F.explode(F.sequence(F.lit(0), F.lit(each - 1))).alias(place))
+    maps = maps.select(((F.col(number) - 1) * each + F.col(place)).alias(number), F.substring(F.col(bitmap), F.col(place) * PIECE + 1, F.lit(PIECE)).alias(bitmap))
+    maps = maps.where(F.bitmap_count(bitmap) > 0)
+    marked = rows.withColumn(place, F.pmod(key, F.lit(bits)))
+    at = F.pmod(F.col(place), F.lit(8 * PIECE)).cast("int")
     byte = F.conv(F.hex(F.substring(F.col(bitmap), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
-    found = marked.join(F.broadcast(maps), F.bitmap_bucket_number(name) == F.col(number))
+    found = marked.join(F.broadcast(maps), F.shiftright(place, (8 * PIECE).bit_length() - 1) == F.col(number))
     return found.where(F.getbit(byte, at % 8) == 1).select(rows.columns)
