@@ -176,6 +176,30 @@ def test_sources(spark, tmp_path):
     assert [r["doc_id"] for r in left.collect()] == ["b"]
 
 
+def test_pages_of_small_files_share_batches(spark, monkeypatch):
+    """Many small files make few batches, and a batch ends at its limits, within a file too."""
+    import pyarrow as pa
+
+    class Files:
+        select = lambda self, *cols: self
+        mapInArrow = lambda self, run, schema: run
+
+    docs = [str(k) for k in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(docs), pa.array([b"bad" if k % 7 == 3 else b"one|two|three" for k in range(3000)], pa.binary())], ["doc_id", "content"])
+    want = [r for k, d in enumerate(docs) for r in ([(d, None, "ValueError: no pages")] if k % 7 == 3 else [(d, n, None) for n in (1, 2, 3)])]
+    read = lambda made: [(r["doc_id"], r["page_num"], r["error"]) for b in made for r in b.to_pylist()]
+    whole = list(files.render(Files(), render)(iter([batch])))
+    assert len(whole) == 1 and read(whole) == want
+    for limit, most, least in (("MOST_ROWS", 2, 2), ("MOST_BYTES", 1, 1)):
+        with monkeypatch.context() as m:
+            m.setattr(files, limit, most)
+            cut = list(files.render(Files(), render)(iter([batch])))
+        assert least <= max(b.num_rows for b in cut) <= 2 and read(cut) == want
+    rows = spark.createDataFrame([("a", bytearray(b"x|y")), ("b", bytearray(b"bad")), ("c", None), ("d", bytearray(b""))], "doc_id string, content binary").coalesce(1)
+    got = [(r["doc_id"], r["page_num"], r["image"], r["text_layer"], (r["error"] or "").partition(":")[0]) for r in files.render(rows, render, with_text=False).collect()]
+    assert got == [("a", 1, b"x", "", ""), ("a", 2, b"y", "", ""), ("b", None, None, None, "ValueError"), ("c", None, None, None, "TypeError"), ("d", 1, b"", "", "")]
+
+
 def test_crops(spark, tmp_path):
     rows = spark.createDataFrame([(1, "i1", "table", bytearray(b"abcdef"))], "doc_id int, image_id string, element_type string, image binary")
     rows = rows.withColumn("bbox", F.expr("named_struct('x1', 1D, 'y1', 0D, 'x2', 3D, 'y2', 1D)"))
