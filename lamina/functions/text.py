@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Callable, Iterator
+from operator import itemgetter
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .labels import strip
 
@@ -36,22 +43,47 @@ def preview(body: Column, limit: int = 50) -> Column:
     return F.when(text == "", None).when(F.length(text) > limit, F.concat(F.left(text, F.lit(limit - 3)), F.lit("..."))).otherwise(text)
 
 
-def words(text: Column, korean_only: bool = True, min_length: int = 2) -> Column:
-    """Candidate keywords of a text, in order."""
-    kept = r"[^\x{AC00}-\x{D7A3}\s]" if korean_only else r"[^\x{AC00}-\x{D7A3}a-zA-Z\s]"
-    split = F.split(F.regexp_replace(text, "(?U)" + kept, " "), r"(?U)\s+")
-    stop = F.array(*[F.lit(w) for w in STOPWORDS])
-    return F.filter(split, lambda w: (F.length(w) >= min_length) & ~F.array_contains(stop, w))
+def words(korean_only: bool = True, min_length: int = 2) -> Callable[[str], list[str]]:
+    """The candidate keywords of a text, in order: runs of Hangul (and ASCII letters) that are long enough and no stop words."""
+    runs = re.compile(("[\uac00-\ud7a3]" if korean_only else "[\uac00-\ud7a3a-zA-Z]") + f"{{{max(min_length, 1)},}}")
+    stop = frozenset(STOPWORDS)
+    return lambda text: [w for w in runs.findall(text) if w not in stop]
 
 
 def keywords(texts: DataFrame, key: str, text: str, k: int = 10, min_length: int = 2, korean_only: bool = True) -> DataFrame:
     """key, rank, keyword, n: the k most frequent words of each text, ties by first appearance.
 
-    Counts combine before the shuffle; the ranking window holds one row per distinct word of a text.
+    Texts meet by key once and are counted one by one where they lie. The only text of its key sends its k best words,
+    several texts of a key send all their words; these counts add up, combined before the shuffle.
     """
-    tokens = texts.select(key, F.posexplode(words(F.col(text), korean_only, min_length)).alias("pos", "keyword"))
-    counts = tokens.groupBy(key, "keyword").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
-    order = Window.partitionBy(key).orderBy(F.desc("n"), "first")
+    candidates, kinds = words(korean_only, min_length), [pa.string(), pa.int64(), pa.int32()]
+
+    def pooled(keys: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+        at, *columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(at)), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], [key, "keyword", "n", "first"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, rows = batch.column(0), []
+            for at, (said, several) in enumerate(zip(batch.column(1), batch.column(2), strict=True)):
+                found = candidates(said.as_py())
+                best = sorted(Counter(found).items(), key=itemgetter(1), reverse=True)  # stable: ties stay in order
+                if several.as_py():
+                    first = dict(zip(reversed(found), range(len(found) - 1, -1, -1), strict=True))
+                    rows += [(at, w, n, first[w]) for w, n in best]
+                else:
+                    rows += [(at, w, n, place) for place, (w, n) in enumerate(best[:k])]
+                if len(rows) >= 50_000:
+                    yield pooled(keys, rows)
+                    rows = []
+            if rows:
+                yield pooled(keys, rows)
+
+    several = F.count(F.lit(1)).over(Window.partitionBy(key)) > 1
+    said = texts.where(F.col(text).isNotNull()).select(key, F.col(text).alias("_said")).select(key, "_said", several.alias("_several"))
+    made = T.StructType([texts.schema[key], T.StructField("keyword", T.StringType()), T.StructField("n", T.LongType()), T.StructField("first", T.IntegerType())])
+    counts = said.mapInArrow(run, made).groupBy(key, "keyword").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
+    order = Window.partitionBy(key).orderBy(F.desc("n"), "first", "keyword")
     return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(key, "rank", "keyword", "n")
 
 

@@ -91,6 +91,22 @@ def test_keywords_model(spark):
         assert got.get(key, []) == [w for w, _ in Counter(words).most_common(3)]
 
 
+def test_keywords_are_counted_in_their_text(spark):
+    """Words are no rows before they are counted; several texts of a key count together, the null key's too."""
+    rng = random.Random(5)
+    texts = [(k if k < 20 else 7 if k < 26 else None, " ".join(rng.choice("aa bb ccc dddd\u2003x\tee! 노열 그리고 가나é다라".split(" ")) for _ in range(rng.randrange(1, 40)))) for k in range(32)] + [(7, None), (40, None), (41, "")]
+    found = text.keywords(spark.createDataFrame(texts, "key int, text string").repartition(5), "key", "text", k=4, korean_only=False)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    counts, first = {}, {}
+    for key, t in texts:
+        held = [w for w in re.sub(r"[^가-힣a-zA-Z\s]", " ", t or "").split() if len(w) > 1 and w not in text.STOPWORDS]
+        counts.setdefault(key, Counter()).update(held)
+        for i, w in enumerate(held):
+            first[key, w] = min(i, first.get((key, w), i))
+    want = {(key, r, w, n) for key, c in counts.items() for r, (w, n) in enumerate(sorted(c.items(), key=lambda x: (-x[1], first[key, x[0]], x[0]))[:4], 1)}
+    assert {tuple(r) for r in found.collect()} == want and found.schema["n"].dataType.simpleString() == "bigint"
+
+
 TILES = {
     (640, 640): (1, 1, 273), (1700, 2200): (2, 3, 903), (2200, 1700): (3, 2, 893), (1000, 1000): (2, 2, 693), (3200, 400): (6, 1, 883), (641, 300): (2, 1, 483),
     (300, 3000): (1, 6, 933), (1000, 400): (2, 1, 483), (2000, 800): (3, 1, 583),
