@@ -77,10 +77,10 @@ def parse(responses: DataFrame) -> DataFrame:
     answer_idx, which orders the answers to one element, is kept where there is one.
 
     Only a strict JSON object is valid; any other answer, a bare list too, keeps its raw text
-    with empty fields.
+    with empty fields. The fields are a column of their own, which keeps them from being read once each.
     """
-    rows = responses.withColumn("structured_data", jsonio.strict_object("raw_response"))
-    a = F.from_json("structured_data", ANSWER)
+    rows = responses.withColumn("structured_data", jsonio.strict_object("raw_response")).withColumn("_a", F.from_json("structured_data", ANSWER))
+    a = F.col("_a")
     empty = F.array().cast("array<string>")
     return rows.select(
         *[c for c in ("doc_id", "element_id", "element_type", "answer_idx") if c in responses.columns],

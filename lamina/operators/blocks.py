@@ -43,9 +43,10 @@ def assemble(elements: DataFrame, analyses: DataFrame) -> DataFrame:
     rows = rows.withColumn("level", F.when((kind == "text_section") & F.col("numbering").isNotNull(), text.depth(F.col("numbering"))))
     rows = rows.withColumn("image_id", F.when(labels.is_visual(kind), image_id(kind, F.col("page_num"), F.col("doc_index"))))
     common = [F.col("keywords"), F.col("summary"), F.col("image_id")]
-    graph = F.from_json(data, answers.GRAPH)["graph_data"]
-    diagram = F.from_json(data, answers.DIAGRAM)["diagram_data"]
-    other = F.from_json(data, answers.COMPLEX)["complexity_data"]
+    # A payload is a column of its own, which keeps it from being read once a field.
+    read = {"graph": (answers.GRAPH, "graph_data"), "diagram": (answers.DIAGRAM, "diagram_data"), "complex_image": (answers.COMPLEX, "complexity_data")}
+    rows = rows.withColumns({f"_{k}": F.when(kind == k, F.from_json(data, schema)[name]) for k, (schema, name) in read.items()})
+    graph, diagram, other = (F.col(f"_{k}") for k in read)
     none = F.create_map().cast("map<string,string>")
     text_data = F.struct("numbering", "keywords", "summary")
     table = F.struct(

@@ -86,8 +86,12 @@ def to_json(documents: DataFrame) -> DataFrame:
 
 
 def from_json(rows: DataFrame) -> DataFrame:
-    """Documents of rows (doc_id, json): version, section level, index and span have defaults; unknown types pass through."""
-    d = rows.select("doc_id", F.from_json("json", DOCUMENT).alias("d"))
+    """Documents of rows (doc_id, json): version, section level, index and span have defaults; unknown types pass through.
+
+    The document comes out of a generator, below which no filter on its parts (as explode adds one) is
+    pushed; it would read, and make, every JSON text a second time.
+    """
+    d = rows.select("doc_id", F.explode(F.array(F.from_json("json", DOCUMENT))).alias("d"))
 
     def section(s):
         index = F.coalesce(s["doc_index"], F.lit(0))

@@ -30,7 +30,8 @@ def coordinates(box: Column) -> Column:
     """The numbers of a box's first bracket group; null when any part is no number."""
     group = F.regexp_extract(labels.strip(box), r"^[\[\s]*([^\[\]]*)", 1)
     parts = F.filter(F.transform(F.split(group, ","), labels.strip), lambda p: p != "")
-    return F.when(F.forall(parts, lambda p: F.rlike(p, F.lit(NUMBER))), F.transform(parts, lambda p: p.try_cast("double")))
+    read = lambda ps: F.when(F.forall(ps, lambda p: F.rlike(p, F.lit(NUMBER))), F.transform(ps, lambda p: p.try_cast("double")))
+    return F.get(F.transform(F.array(parts), read), F.lit(0))  # the parts are found once for both uses
 
 
 def parse(pages: DataFrame) -> DataFrame:
@@ -39,8 +40,9 @@ def parse(pages: DataFrame) -> DataFrame:
     Pairs with fewer than four coordinates or with a part that is no number are dropped but
     keep their place in the numbering. One pass over each page; no shuffle.
     """
-    found = pages.select("doc_id", "page_num", "width", "height", F.posexplode(tagged(F.col("raw_response"))).alias("elem_idx", "tag"))
-    found = found.select("*", labels.normal_label(F.col("tag.label")).alias("label"), coordinates(F.col("tag.box")).alias("xy")).where(F.size("xy") >= 4)
+    read = lambda t: F.struct(t["label"].alias("label"), coordinates(t["box"]).alias("xy"), t["body"].alias("body"))  # noqa: E731  (before the filter, which would else read boxes again)
+    found = pages.select("doc_id", "page_num", "width", "height", F.posexplode(F.transform(tagged(F.col("raw_response")), read)).alias("elem_idx", "tag"))
+    found = found.select("*", F.col("tag.xy").alias("xy")).where(F.size("xy") >= 4).withColumn("label", labels.normal_label(F.col("tag.label")))
     at = lambda k, size: geometry.rescale(F.get(F.col("xy"), F.lit(k)), F.col(size)).cast("double")
     return found.select(
         "doc_id", "page_num", "elem_idx",

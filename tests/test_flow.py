@@ -200,6 +200,20 @@ def test_pages_of_small_files_share_batches(spark, monkeypatch):
     assert got == [("a", 1, b"x", "", ""), ("a", 2, b"y", "", ""), ("b", None, None, None, "ValueError"), ("c", None, None, None, "TypeError"), ("d", 1, b"", "", "")]
 
 
+def test_json_is_read_once(spark):
+    """Each document's JSON is read once, an answer's and a payload's fields are read together."""
+    made = pipeline.documents(fixtures.markup(spark, SF), fixtures.full_responses(spark, SF))
+    for part in ("blocks", "sections"):
+        found = docjson.from_json(docjson.to_json(made)).select("doc_id", F.explode(part).alias("x")).select("doc_id", "x.*")
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        for schema in (part, "graph_data", "diagram_data", "complexity_data", "items"):
+            assert plan.count(f"from_json(StructField({schema},") == 1
+    rows = spark.createDataFrame([(1, None), (2, "{}"), (3, "no json"), (4, '{"version":"2","sections":[{"id":"s"}]}')], "doc_id int, json string")
+    got = {r["doc_id"]: (r["version"], r["metadata"], r["blocks"], [(s["id"], s["level"], s["span"]) for s in r["sections"]]) for r in docjson.from_json(rows).collect()}
+    none = ("0.0.0", None, [], [])
+    assert got == {1: none, 2: none, 3: none, 4: ("2", None, [], [("s", 1, [0, 1])])}
+
+
 def test_crops(spark, tmp_path):
     rows = spark.createDataFrame([(1, "i1", "table", bytearray(b"abcdef"))], "doc_id int, image_id string, element_type string, image binary")
     rows = rows.withColumn("bbox", F.expr("named_struct('x1', 1D, 'y1', 0D, 'x2', 3D, 'y2', 1D)"))
